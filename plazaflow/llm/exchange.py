@@ -15,7 +15,7 @@ from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ._common import slices
 
@@ -35,13 +35,16 @@ def unpacked(block) -> pa.RecordBatch:
     return pa.ipc.open_stream(pa.py_buffer(block)).read_all().combine_chunks().to_batches()[0]
 
 
+def bucket_count(spark: SparkSession, buckets: int | None = None) -> int:
+    return buckets or BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def ask(df: DataFrame, columns: list[str], keys: Callable, answer: Callable, finish: Callable, schema: str, *, payload: Callable | None = None, text: str = "text", unit_bytes: int = 4 << 20, buckets: int | None = None) -> DataFrame:
     """keys(batch, n) -> n blocks; answer(list of blocks) -> a block for each; finish(batch, answers by bucket) -> a RecordBatch of ``schema``.
 
     ``payload(batch)``: what travels to ``finish`` instead of the rows themselves.
     """
-    spark = df.sparkSession
-    n = buckets or BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = bucket_count(df.sparkSession, buckets)
 
     def units(batches):
         # rows are cut by their own size alone, so that Arrow's batch limits don't matter

@@ -13,10 +13,11 @@ from __future__ import annotations
 import hashlib
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ._common import arrow_schema, slices
+from ._common import arrow_schema, ddl, slices
 
 _MARK = "▁"
 _CHUNK = re.compile(f"{_MARK}+[^{_MARK}]*")
@@ -67,6 +68,17 @@ def segmenter(model: str) -> Segmenter:
     return _loaded[model]
 
 
+def _looked_up(work: Segmenter, texts: list[str | None]) -> list[list[tuple[str, str, int]]]:
+    """The table's entries of each text's chunks, in order."""
+    rows = [work.chunks(t or "") for t in texts]
+    if new := set().union(*rows).difference(work.table):
+        if len(work.table) + len(new) > TABLE_SIZE:
+            new = set().union(*rows)
+        work.learn(list(new))
+    find = work.table.__getitem__
+    return [list(map(find, chunks)) for chunks in rows]
+
+
 def _sliced(df: DataFrame, id_column: str, text: str, model: str | None, columns: str, row) -> DataFrame:
     model = model or default_model()
     schema = f"{id_column} {df.schema[id_column].dataType.simpleString()}, {columns}"
@@ -75,12 +87,7 @@ def _sliced(df: DataFrame, id_column: str, text: str, model: str | None, columns
     def run(batches):
         work = segmenter(model)
         for part in slices(batches, text):
-            rows = [work.chunks(t or "") for t in part.column(1).to_pylist()]
-            if new := set().union(*rows).difference(work.table):
-                if len(work.table) + len(new) > TABLE_SIZE:
-                    new = set().union(*rows)
-                work.learn(list(new))
-            out = [row([work.table[c] for c in chunks]) for chunks in rows]
+            out = [row(got) for got in _looked_up(work, part.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, t) for c, t in zip(zip(*out, strict=True), types[1:], strict=True))], list(names))
 
     return df.select(id_column, text).mapInArrow(run, schema)
@@ -95,6 +102,26 @@ def encode(df: DataFrame, id_column: str = "doc_id", text: str = "text", model:
     return _sliced(df, id_column, text, model, "ids array<int>, decoded string", row)
 
 
+def with_ids(df: DataFrame, text: str = "text", model: str | None = None) -> DataFrame:
+    """The rows without ``text``, with n_tokens and ids array<int> (columns of these names give way)."""
+    model = model or default_model()
+    keep = [c for c in df.columns if c not in (text, "n_tokens", "ids")]
+    schema = ", ".join([ddl(df.select(*keep)), "n_tokens long, ids array<int>"])
+    target = arrow_schema(schema)
+
+    def run(batches):
+        work = segmenter(model)
+        for part in slices(batches, text):
+            rows = _looked_up(work, part.column(len(keep)).to_pylist())
+            ids = [np.fromstring(",".join([x[0] for x in got]), np.int32, sep=",") if got else np.zeros(0, np.int32) for got in rows]
+            sizes = np.array([len(i) for i in ids])
+            offsets = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
+            flat = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids)))
+            yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array(sizes), flat.cast(target.field("ids").type)], schema=target)
+
+    return df.select(*keep, text).mapInArrow(run, schema)
+
+
 def digest(df: DataFrame, id_column: str = "doc_id", text: str = "text", model: str | None = None) -> DataFrame:
     """The digest columns of op5, made from the same table without building the arrays."""
 
