@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
+from . import curation, evaluation, market, registry, vectors
+
+__all__ = ["FLAGSHIP", "QUERIES", "SQL", "curation", "evaluation", "market", "vectors"]
+
+QUERIES = registry.QUERIES
+SQL = registry.SQL
 FLAGSHIP = "match_orders"
