@@ -10,7 +10,30 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that a Python worker handles at once; one document may be longer and is then handled alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+
+
+#: Arrow batches are cut at these bytes, so that long documents don't add up in a worker.
+BATCH_BYTES = 8 << 20
+
+_resident: dict = {}
+
+
+def resident(kind: str, source, build: Callable):
+    """What a Python worker keeps between tasks, built from ``source``: one thing at a time, so that a pipeline's stages don't pile up models in it."""
+    if _resident.get("kind") != kind or not (_resident["source"] is source or isinstance(source, (str, tuple)) and _resident["source"] == source):
+        _resident.clear()
+        _resident.update(kind=kind, source=source, built=build())
+    return _resident["built"]
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """The same rows; sets the session's byte limit for Arrow batches, unless a smaller one is set."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    have = df.sparkSession.conf.get(name, None)
+    if have is None or not have.isdigit() or not 0 < int(have) <= BATCH_BYTES:
+        df.sparkSession.conf.set(name, str(BATCH_BYTES))
+    return df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,7 +87,7 @@ def map_text(df: DataFrame, columns: list[str], make: Callable[[], Callable[[dic
             got = work({name: part.column(k).to_pylist() for k, name in enumerate(columns)})
             yield pa.RecordBatch.from_arrays([pa.array(got[f.name], f.type) for f in target], schema=target)
 
-    return df.select(*columns).mapInArrow(run, schema)
+    return bounded(df).select(*columns).mapInArrow(run, schema)
 
 
 # ---- words as bytes -------------------------------------------------------------------------------------------------

@@ -17,7 +17,7 @@ from collections import defaultdict
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import ddl, map_text
+from ._common import ddl, map_text, resident
 
 WIDTH = 10
 BLOCK_WORDS = 1_000_000
@@ -186,16 +186,10 @@ def overlaps(df: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_word
     return map_text(df.select(*columns), columns, make, schema, text)
 
 
-_built: dict = {}
-
-
 def _automaton(block, width: int) -> Automaton:
     """Built once for a Python worker, not for each task."""
-    key = (id(block.value), width)
-    if key not in _built:
-        _built.clear()
-        _built[key] = (block.value, Automaton(block.value, width))
-    return _built[key][1]
+    items = block.value
+    return resident(f"items {width}", items, lambda: Automaton(items, width))
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[list[int]]:

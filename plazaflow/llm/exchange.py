@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from ._common import slices
+from ._common import bounded, slices
 
 _LINK = "unit long, bucket int, block binary"
 #: Buckets for each shuffle partition; more than one evens out how buckets fall on tasks.
@@ -81,7 +81,7 @@ def ask(df: DataFrame, columns: list[str], keys: Callable, answer: Callable, fin
             raise ValueError("a unit didn't meet one answer of each bucket: its rows came in another order when read again; pass a table that is read in a fixed order")
         return pa.Table.from_batches([finish(unpacked(carried["block"][0].as_buffer()), [at[k].as_buffer() for k in range(n)])])
 
-    rows = df.select(*columns)
+    rows = bounded(df).select(*columns)
     asked = rows.mapInArrow(asking, _LINK)
     answers = asked.groupBy("bucket").applyInArrow(answering, _LINK)
     # each side has its own shuffle, so that both number the scan's partitions alike

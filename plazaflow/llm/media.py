@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ._common import slices
+from ._common import bounded, slices
 
 WIDTH = 192
 _MOST_ROWS = 65535 // 8
@@ -318,7 +318,7 @@ def store_text(df: DataFrame, id_column: str = "doc_id", text: str = "text") ->
             raw = [(t or "").encode() for t in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(map(len, raw), pa.int64()), pa.array(store([padded(r) for r in raw]), pa.binary())], [id_column, "n_bytes", "media"])
 
-    return df.select(id_column, text).mapInArrow(run, schema)
+    return bounded(df).select(id_column, text).mapInArrow(run, schema)
 
 
 def media_features(df: DataFrame, media: str = "media") -> DataFrame:
@@ -346,4 +346,4 @@ def media_features(df: DataFrame, media: str = "media") -> DataFrame:
                 types = [pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(len(keep))), *(pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True))], [*keep, *names])
 
-    return df.select(*keep, media).mapInArrow(run, schema)
+    return bounded(df).select(*keep, media).mapInArrow(run, schema)

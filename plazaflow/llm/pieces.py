@@ -17,15 +17,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ._common import arrow_schema, ddl, slices
+from ._common import arrow_schema, bounded, ddl, resident, slices
 
 _MARK = "▁"
 _CHUNK = re.compile(f"{_MARK}+[^{_MARK}]*")
 #: Chunks kept by a worker; beyond that its table starts anew.
-TABLE_SIZE = 300_000
-
-_loaded: dict[str, Segmenter] = {}
-
+TABLE_SIZE = 150_000
 
 def default_model() -> str:
     import public_tokenizers
@@ -63,9 +60,7 @@ class Segmenter:
 
 
 def segmenter(model: str) -> Segmenter:
-    if model not in _loaded:
-        _loaded[model] = Segmenter(model)
-    return _loaded[model]
+    return resident("pieces", model, lambda: Segmenter(model))
 
 
 def _looked_up(work: Segmenter, texts: list[str | None]) -> list[list[tuple[str, str, int]]]:
@@ -90,7 +85,7 @@ def _sliced(df: DataFrame, id_column: str, text: str, model: str | None, columns
             out = [row(got) for got in _looked_up(work, part.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, t) for c, t in zip(zip(*out, strict=True), types[1:], strict=True))], list(names))
 
-    return df.select(id_column, text).mapInArrow(run, schema)
+    return bounded(df).select(id_column, text).mapInArrow(run, schema)
 
 
 def encode(df: DataFrame, id_column: str = "doc_id", text: str = "text", model: str | None = None) -> DataFrame:
@@ -119,7 +114,7 @@ def with_ids(df: DataFrame, text: str = "text", model: str | None = None) -> Dat
             flat = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids)))
             yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array(sizes), flat.cast(target.field("ids").type)], schema=target)
 
-    return df.select(*keep, text).mapInArrow(run, schema)
+    return bounded(df).select(*keep, text).mapInArrow(run, schema)
 
 
 def digest(df: DataFrame, id_column: str = "doc_id", text: str = "text", model: str | None = None) -> DataFrame:

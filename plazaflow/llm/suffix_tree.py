@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import Words, fold_of, slices
+from ._common import Words, bounded, fold_of, slices
 from .exchange import ask, bucket_count
 from .scratch import Scratch
 
@@ -95,7 +95,7 @@ def _symbols(stream: np.ndarray) -> np.ndarray:
 
 def train(df: DataFrame, scratch: Scratch, text: str = "text") -> Tree:
     """Counts in Spark; what is collected are the next symbols of contexts that hold LEAST_SHARE of all."""
-    grams = scratch.keep(df.select(F.col(text).alias("text")).mapInArrow(_gram_counts, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "grams")
+    grams = scratch.keep(bounded(df).select(F.col(text).alias("text")).mapInArrow(_gram_counts, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "grams")
     total = grams.agg(F.sum("n")).first()[0] or 0
     mask = F.expr("shiftleft(1L, 8 * (depth + 1)) - 1")
     nexts = grams.select(F.explode(F.sequence(F.lit(0), F.lit(DEPTH))).alias("depth"), "gram", "n").select("depth", F.col("gram").bitwiseAND(mask).alias("gram"), "n").groupBy("depth", "gram").agg(F.sum("n").alias("n"))

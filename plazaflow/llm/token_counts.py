@@ -16,10 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import map_text
-
-_loaded: dict = {}
-
+from ._common import map_text, resident
 
 def default_vocabulary() -> tuple[str, str]:
     import public_tokenizers
@@ -29,7 +26,8 @@ def default_vocabulary() -> tuple[str, str]:
 
 def _encoding(path: str, pattern: str):
     """The tokenizer, and the number of bytes of each id."""
-    if path not in _loaded:
+
+    def build():
         import tiktoken
 
         with open(path, "rb") as f:
@@ -37,8 +35,9 @@ def _encoding(path: str, pattern: str):
         sizes = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, rank in ranks.items():
             sizes[rank] = len(token)
-        _loaded[path] = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), sizes
-    return _loaded[path]
+        return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), sizes
+
+    return resident("tokens", (path, pattern), build)
 
 
 def line_starts(text: str) -> list[int]:
