@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import ddl, fold_of, map_text, slices
+from ._common import bounded, ddl, fold_of, map_text, resident, slices
 from .scratch import Scratch
 
 SAMPLE_ROWS = 4000
@@ -30,7 +30,7 @@ LONGEST = 5
 FOLDS = 5
 #: The pipeline rejects a document below this score, or without letters.
 LEAST_SCORE = 0.3
-_CACHE = 200_000
+_CACHE = 100_000
 _SMOOTH = 0.5
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -48,29 +48,45 @@ def _grams(word: str, n: int) -> list[str]:
 class Model:
     """Tables by n-gram length; 0 stands for whole words. Vectors are log frequencies by language."""
 
-    def __init__(self, langs: list[str], tables: dict[int, dict[str, np.ndarray]]):
-        self.langs, self.tables = langs, {n: t for n, t in tables.items() if t}
-        self.cache: dict[str, int] = {}
-        self.vectors = np.zeros((0, len(langs)), np.float32)
-
-    def vector(self, word: str) -> np.ndarray:
-        got = self.tables.get(0, {}).get(word)
-        if got is not None:
-            return got
-        for n in range(LONGEST, 0, -1):
-            if (table := self.tables.get(n)) and (found := [v for g in _grams(word, n) if (v := table.get(g)) is not None]):
-                return sum(found) / len(found)
-        return np.zeros(len(self.langs))
+    def __init__(self, langs: list[str], tables: dict[int, tuple[list[str], np.ndarray]]):
+        self.langs, self.source = langs, tables
+        #: Of n-grams, by length: row numbers in one matrix of all.
+        self.grams, parts, at = {}, [np.zeros((1, len(langs)), np.float32)], 1
+        for n in range(1, LONGEST + 1):
+            known, matrix = tables.get(n, ([], parts[0][:0]))
+            if known:
+                self.grams[n] = dict(zip(known, range(at, at + len(known)), strict=True))
+                parts.append(matrix)
+                at += len(known)
+        self.matrix = np.concatenate(parts)
+        #: Row numbers in ``vectors``: the known words for good, unseen ones until there are too many.
+        words, first = tables.get(0, ([], parts[0][:0]))
+        self.known = dict(zip(words, range(len(words)), strict=True))
+        self.cache, self.vectors = dict(self.known), first
+
+    def backed_off(self, word: str) -> list[int]:
+        """Of a word that isn't known: the rows of its n-grams of the longest length that has any; row 0, of zeros, if none has."""
+        w = f"^{word}$"
+        for n in range(min(LONGEST, len(w)), 0, -1):
+            if n in self.grams:
+                rows = self.grams[n]
+                if found := [rows[g] for k in range(len(w) - n + 1) if (g := w[k : k + n]) in rows]:
+                    return found
+        return [0]
 
     def rows_of(self, words: list[list[str]]) -> list[np.ndarray]:
         """Row numbers in ``vectors`` of each text's words."""
         new = set().union(*words).difference(self.cache)
-        if len(self.cache) + len(new) > _CACHE:
-            self.cache, self.vectors, new = {}, self.vectors[:0], set().union(*words)
+        if len(self.cache) + len(new) > len(self.known) + _CACHE:
+            self.cache, self.vectors = dict(self.known), self.vectors[: len(self.known)]
+            new = set().union(*words).difference(self.cache)
         if new:
             at = len(self.vectors)
             self.cache.update(zip(new, range(at, at + len(new)), strict=True))
-            self.vectors = np.concatenate([self.vectors, np.array([self.vector(w) for w in new], np.float32).reshape(len(new), -1)])
+            found = [self.backed_off(w) for w in new]
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            more = np.add.reduceat(self.matrix[np.concatenate(found)], np.cumsum(sizes) - sizes, 0) / sizes[:, None]
+            self.vectors = np.concatenate([self.vectors, more.astype(np.float32)])
         find = self.cache.__getitem__
         return [np.fromiter(map(find, w), np.int64, len(w)) for w in words]
 
@@ -114,37 +130,31 @@ def fit(df: DataFrame, id_column: str = "doc_id", text: str = "text", label: str
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows, strict=True)], ["lang", "n", "gram", "c"])
 
-    counts = sample.select(F.col(label).alias("lang"), F.col(text).alias("text")).mapInArrow(count, "lang string, n long, gram string, c long").groupBy("lang", "n", "gram").agg(F.sum("c").alias("c"))
+    counts = bounded(sample).select(F.col(label).alias("lang"), F.col(text).alias("text")).mapInArrow(count, "lang string, n long, gram string, c long").groupBy("lang", "n", "gram").agg(F.sum("c").alias("c"))
     counts = Scratch(df.sparkSession).keep(counts, "counts")
     grams = counts.groupBy("n", "gram").agg(F.sum("c").alias("all"), F.map_from_entries(F.collect_list(F.struct("lang", "c"))).alias("by"))
     totals = {(r[0], r[1]): r[2] for r in counts.groupBy("lang", "n").agg(F.sum("c")).collect()}
     langs = sorted({k[0] for k in totals})
-    tables: dict[int, dict[str, np.ndarray]] = {}
+    tables: dict[int, tuple[list[str], np.ndarray]] = {}
     for n in range(LONGEST + 1):
         top = grams.where((F.col("n") == n) & ((F.col("all") > 1) | (F.col("n") > 0))).orderBy(F.desc("all"), "gram").limit(TABLE_GRAMS if n else TABLE_WORDS).collect()
         sums = np.array([totals.get((lang, n), 0) for lang in langs]) + _SMOOTH * (len(top) + 1)
-        tables[n] = {r["gram"]: np.log((np.array([r["by"].get(lang, 0) for lang in langs]) + _SMOOTH) / sums) for r in top}
+        seen = np.array([[r["by"].get(lang, 0) for lang in langs] for r in top]).reshape(len(top), len(langs))
+        tables[n] = [r["gram"] for r in top], np.log((seen + _SMOOTH) / sums).astype(np.float32)
     return Model(langs, tables)
 
 
-_here: dict = {}
-
-
 def _worker_model(shared) -> Model:
     """One model a worker, so that its table of words outlives a task."""
-    key = id(shared.value)
-    if key not in _here:
-        _here.clear()
-        langs, tables = shared.value
-        _here[key] = (shared.value, Model(langs, tables))
-    return _here[key][1]
+    langs, tables = shared.value
+    return resident("language", tables, lambda: Model(langs, tables))
 
 
 def identify(df: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, id_column: str = "doc_id") -> DataFrame:
     """(kept columns, lang_pred, score) for every row."""
     keep = [id_column] if keep is None else keep
     columns = [*keep, *([] if text in keep else [text])]
-    shared = df.sparkSession.sparkContext.broadcast((model.langs, model.tables))
+    shared = df.sparkSession.sparkContext.broadcast((model.langs, model.source))
 
     def make():
         here = _worker_model(shared)

@@ -160,8 +160,8 @@ def test_language_ignores_labels_of_held_out_rows(docs):
 
 
 def test_language_backs_off_to_grams():
-    v = lambda *x: np.log(np.array(x))
-    model = language.Model(["a", "b"], {0: {"known": v(0.9, 0.1)}, 3: {"^kn": v(0.2, 0.8)}, 1: {"z": v(0.7, 0.3)}})
+    v = lambda *x: np.log(np.array([x], np.float32))
+    model = language.Model(["a", "b"], {0: (["known"], v(0.9, 0.1)), 3: (["^kn"], v(0.2, 0.8)), 1: (["z"], v(0.7, 0.3))})
     assert model.predict(["known", "knab", "z", "!", None])[0][0] == "a"
     assert [x[0] for x in model.predict(["known", "knab", "z", "!", None])] == ["a", "b", "a", "und", "und"]
 
