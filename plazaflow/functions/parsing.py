@@ -338,6 +338,38 @@ def html_page(text: str) -> dict:
 PAGE = "text string, paragraphs array<string>, tables array<array<array<string>>>"
 
 
+_BAR = re.compile(r"chart|graph|plot", re.I)
+
+
+def html_charts(text: str) -> list[dict]:
+    """type, title, data and description of figures and of elements whose class speaks of a chart; what is missing is empty."""
+    out = []
+    for m in re.finditer(r"<(figure|div|canvas|svg)\b([^>]*)>", text, re.I):
+        attributes = dict(re.findall(r"([\w-]+)\s*=\s*[\"']([^\"']*)[\"']", m[2]))
+        if m[1].lower() not in ("figure", "canvas", "svg") and not _BAR.search(attributes.get("class", "")):
+            continue
+        end = text.find(f"</{m[1]}", m.end())
+        body = text[m.end() : end if end >= 0 else m.end()]
+        title = re.search(r"<(?:title|figcaption|h\d)[^>]*>(.*?)</", body, re.S | re.I)
+        kind = next((k for k in ("bar", "line", "pie", "scatter") if k in attributes.get("class", "").lower()), "chart")
+        out.append({"type": attributes.get("data-type", kind), "title": _squeeze([re.sub(r"<[^>]+>", " ", title[1])]) if title else attributes.get("title", ""), "data": attributes.get("data-values", ""), "description": attributes.get("aria-label", attributes.get("alt", ""))})
+    return out
+
+
+def sections(text: str) -> list[dict]:
+    """title and points of each headed part of a text: a header is a line of marks or bold, or one that ends on a colon; bullets and other lines are points."""
+    out: list[dict] = []
+    for line in filter(None, map(str.strip, text.splitlines())):
+        head = re.match(r"^#{1,6}\s+(.*)$", line) or re.match(r"^\*\*(.+?)\*\*:?$", line) or re.match(r"^([A-Z][^.!?]{0,79}):$", line)
+        if head:
+            out.append({"title": head[1].strip(), "points": []})
+            continue
+        if not out:
+            out.append({"title": "", "points": []})
+        out[-1]["points"].append(re.sub(r"^(?:[-*\u2022]|\d+[.)])\s+", "", line))
+    return out
+
+
 def table_markdown(rows: list[list[str]]) -> str:
     """The first row as head, a separator, the rest; short rows are filled."""
     width = max(map(len, rows), default=0)
@@ -406,6 +438,10 @@ flatten_json_col = _column(flatten_json, "map<string,string>")
 semantic_chunks_col = _column(semantic_chunks, CHUNKS)
 
 
+sections_col = _column(sections, "array<struct<title:string,points:array<string>>>")
+html_charts_col = _column(html_charts, "array<struct<type:string,title:string,data:string,description:string>>")
+
+
 def html_page_col(c: Column) -> Column:
     def run(s: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([html_page(x or "") for x in s], columns=["text", "paragraphs", "tables"])

@@ -210,3 +210,12 @@ def rejection_reasons(df: DataFrame, conversation: str = "conversations", strict
     c = F.col(conversation)
     error = F.when(F.coalesce(F.size(c), F.lit(0)) < 2, "too_few_turns").otherwise(pair_error(last_of(c, "human"), last_of(c, "gpt"), strict=strict))
     return df.withColumn("reason", error)
+
+
+def with_reasoning(conversation: Column, before: Column, after: Column) -> Column:
+    """Reasoning turns put around tool calls: one before each calling reply, one behind each tool response."""
+    turn = lambda v: F.struct(F.lit("reasoning").alias("from"), v.alias("value"))
+    around = lambda t: (
+        F.when((t["from"] == "gpt") & F.contains(t["value"], F.lit("<tool_call>")), F.array(turn(before), t)).when(t["from"] == "tool", F.array(t, turn(after))).otherwise(F.array(t))
+    )
+    return F.flatten(F.transform(conversation, around))
