@@ -21,7 +21,7 @@ from ._common import arrow_schema, bounded, ddl, resident, slices
 
 _MARK = "▁"
 _CHUNK = re.compile(f"{_MARK}+[^{_MARK}]*")
-#: Chunks kept by a worker; beyond that its table starts anew.
+#: Chunks kept by a worker; beyond that only those of the rows at hand stay.
 TABLE_SIZE = 150_000
 
 def default_model() -> str:
@@ -40,7 +40,12 @@ class Segmenter:
         if sp.encode("a") != sp.encode(["a"])[0] or sp.normalize("  a\n b ") != _MARK * 3 + "a\n" + _MARK + "b" + _MARK:
             raise ValueError("this model's normalisation changes more than spaces")
         self.lone = sp.piece_to_id(_MARK)
-        self.table: dict[str, tuple[str, str, int]] = {}
+        size = sp.get_piece_size()
+        self.digits = [str(i) for i in range(size)]
+        #: What an id decodes to alone; none for bytes and control ids.
+        self.surface = [None if sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) else sp.id_to_piece(i) for i in range(size)]
+        #: Of each chunk: ids as text, their number, and what they decode to if that isn't the chunk itself.
+        self.table: dict[str, tuple[str, int, str | None]] = {}
 
     def chunks(self, text: str) -> list[str]:
         return _CHUNK.findall(_MARK + text.replace(" ", _MARK)) if text else []
@@ -49,31 +54,39 @@ class Segmenter:
         # the library puts the first marker back itself, but returns nothing for an empty text
         return [self.lone] if chunk == _MARK else self.sp.encode(chunk[1:])
 
-    def learn(self, new: list[str]) -> None:
-        """Puts (ids as text, decoded text with its spaces, number of ids) of chunks into the table."""
+    def look_up(self, texts: list[str | None]) -> list[tuple[list[str], list[tuple[str, int, str | None]]]]:
+        """The chunks of each text and their entries in the table; chunks that it lacks are segmented once."""
+        rows = [self.chunks(t or "") for t in texts]
+        wanted = set().union(*rows)
+        new = list(wanted.difference(self.table))
         if len(self.table) + len(new) > TABLE_SIZE:
-            self.table.clear()
+            self.table = {c: self.table[c] for c in wanted.intersection(self.table)}
         encoded = self.sp.encode([c[1:] for c in new], num_threads=1)
-        encoded = [[self.lone] if c == _MARK else i for c, i in zip(new, encoded, strict=True)]
-        for c, i, d in zip(new, encoded, self.sp.decode(encoded, num_threads=1), strict=True):
-            self.table[c] = ",".join(map(str, i)), " " + d, len(i)
+        encoded = [[self.lone] if c == _MARK else ids for c, ids in zip(new, encoded, strict=True)]
+        digit, surface, with_bytes = self.digits.__getitem__, self.surface.__getitem__, []
+        for c, ids in zip(new, encoded, strict=True):
+            parts = list(map(surface, ids))
+            if None in parts:
+                with_bytes.append((c, ids))
+            else:
+                text = "".join(parts)
+                self.table[c] = ",".join(map(digit, ids)), len(ids), None if text == c else text
+        for (c, ids), d in zip(with_bytes, self.sp.decode([ids for _, ids in with_bytes], num_threads=1) if with_bytes else [], strict=True):
+            text = _MARK + d.replace(" ", _MARK)
+            self.table[c] = ",".join(map(digit, ids)), len(ids), None if text == c else text
+        find = self.table.__getitem__
+        return [(chunks, list(map(find, chunks))) for chunks in rows]
+
+
+def text_of(chunks: list[str], got: list[tuple[str, int, str | None]]) -> str:
+    """The decoded text of a row: its chunks' texts, markers as spaces, without the first one."""
+    return "".join([c if x[2] is None else x[2] for c, x in zip(chunks, got, strict=True)])[1:].replace(_MARK, " ")
 
 
 def segmenter(model: str) -> Segmenter:
     return resident("pieces", model, lambda: Segmenter(model))
 
 
-def _looked_up(work: Segmenter, texts: list[str | None]) -> list[list[tuple[str, str, int]]]:
-    """The table's entries of each text's chunks, in order."""
-    rows = [work.chunks(t or "") for t in texts]
-    if new := set().union(*rows).difference(work.table):
-        if len(work.table) + len(new) > TABLE_SIZE:
-            new = set().union(*rows)
-        work.learn(list(new))
-    find = work.table.__getitem__
-    return [list(map(find, chunks)) for chunks in rows]
-
-
 def _sliced(df: DataFrame, id_column: str, text: str, model: str | None, columns: str, row) -> DataFrame:
     model = model or default_model()
     schema = f"{id_column} {df.schema[id_column].dataType.simpleString()}, {columns}"
@@ -82,7 +95,7 @@ def _sliced(df: DataFrame, id_column: str, text: str, model: str | None, columns
     def run(batches):
         work = segmenter(model)
         for part in slices(batches, text):
-            out = [row(got) for got in _looked_up(work, part.column(1).to_pylist())]
+            out = [row(*got) for got in work.look_up(part.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, t) for c, t in zip(zip(*out, strict=True), types[1:], strict=True))], list(names))
 
     return bounded(df).select(id_column, text).mapInArrow(run, schema)
@@ -91,8 +104,8 @@ def _sliced(df: DataFrame, id_column: str, text: str, model: str | None, columns
 def encode(df: DataFrame, id_column: str = "doc_id", text: str = "text", model: str | None = None) -> DataFrame:
     """(id, ids array<int>, decoded string) for every row."""
 
-    def row(got):
-        return [int(i) for x in got for i in x[0].split(",")], "".join(x[1] for x in got)[1:]
+    def row(chunks, got):
+        return [int(i) for x in got for i in x[0].split(",")], text_of(chunks, got)
 
     return _sliced(df, id_column, text, model, "ids array<int>, decoded string", row)
 
@@ -107,8 +120,8 @@ def with_ids(df: DataFrame, text: str = "text", model: str | None = None) -> Dat
     def run(batches):
         work = segmenter(model)
         for part in slices(batches, text):
-            rows = _looked_up(work, part.column(len(keep)).to_pylist())
-            ids = [np.fromstring(",".join([x[0] for x in got]), np.int32, sep=",") if got else np.zeros(0, np.int32) for got in rows]
+            rows = work.look_up(part.column(len(keep)).to_pylist())
+            ids = [np.fromstring(",".join([x[0] for x in got]), np.int32, sep=",") if got else np.zeros(0, np.int32) for _, got in rows]
             sizes = np.array([len(i) for i in ids])
             offsets = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
             flat = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids)))
@@ -120,7 +133,7 @@ def with_ids(df: DataFrame, text: str = "text", model: str | None = None) -> Dat
 def digest(df: DataFrame, id_column: str = "doc_id", text: str = "text", model: str | None = None) -> DataFrame:
     """The digest columns of op5, made from the same table without building the arrays."""
 
-    def row(got):
-        return sum(x[2] for x in got), hashlib.sha256(",".join([x[0] for x in got]).encode()).hexdigest(), hashlib.sha256("".join([x[1] for x in got])[1:].encode()).hexdigest()
+    def row(chunks, got):
+        return sum([x[1] for x in got]), hashlib.sha256(",".join([x[0] for x in got]).encode()).hexdigest(), hashlib.sha256(text_of(chunks, got).encode()).hexdigest()
 
     return _sliced(df, id_column, text, model, "n_tokens long, ids_sha256 string, decoded_sha256 string", row)
