@@ -6,7 +6,9 @@ once there: no bucket grows with a hot key by more than one entry a unit. A buck
 bit or a few bytes a key), and the unit, which travels compressed, is finished where its answers meet. Units are cut in scan order, so
 recomputing a lost task gives the same units; a unit whose answers don't fit its own keys raises instead of giving wrong rows.
 
-Rows: buckets read units x buckets blocks; both sides of the last shuffle have one unit as a group, of bounded size.
+Rows: buckets read units x buckets blocks; both sides of the last shuffle have one unit as a group, of bounded size. A bucket is answered
+in one worker, so buckets must be as many as keep (all distinct keys of all units) / buckets within its memory, and units large enough
+that a block holds more than a few keys: raise ``buckets`` (or spark.sql.shuffle.partitions) and ``unit_bytes`` together with the input.
 """
 
 from __future__ import annotations

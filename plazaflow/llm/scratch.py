@@ -1,7 +1,12 @@
-"""Tables written to the shared folder that the cluster names in spark.checkpoint.dir: they cut lineage and survive lost executors."""
+"""Tables written to the shared folder that the cluster names in spark.checkpoint.dir: they cut lineage and survive lost executors.
+
+Results that are read lazily still need their tables, so a folder goes when the driver's Python ends, not before; what is known to be
+over can be dropped earlier.
+"""
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +16,9 @@ class Scratch:
     """A folder of its own below the shared one; where the setting is absent, below the warehouse (shared as well on a cluster)."""
 
     def __init__(self, spark: SparkSession):
-        conf = spark.sparkContext.getConf()
-        top = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.sql.warehouse.dir")
+        top = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
         self.spark, self.at = spark, f"{top.rstrip('/')}/scratch-{uuid.uuid4().hex}"
+        atexit.register(self.close)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """Writes ``df`` and reads it again."""
@@ -25,3 +30,8 @@ class Scratch:
         """Deletes a table that nothing needs any more."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.at}/{name}")
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def close(self) -> None:
+        """Deletes the folder, if the session still runs."""
+        if self.spark.sparkContext._jsc is not None:
+            self.drop("")
