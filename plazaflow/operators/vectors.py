@@ -1,7 +1,9 @@
-"""Exact vector search: scores by higher-order functions inside the JVM, top-k per query without sorting all rows."""
+"""Exact vector search: one query by higher-order functions inside the JVM, many by one matrix product a batch; no sort of all rows."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -36,23 +38,65 @@ def nearest(rows: DataFrame, query: list[float], k: int, vector: str = "embeddin
     return scored.orderBy(F.desc_nulls_last("similarity"), key).limit(k)
 
 
-def nearest_of_each(rows: DataFrame, queries: DataFrame, k: int, vector: str = "embedding", key: str = "vec_id", query_key: str = "query_id", query_vector: str = "query_vector", broadcast_rows: int = 10_000) -> DataFrame:
-    """The k nearest rows of each query. Queries are the stated, small side: counted, and broadcast only up to ``broadcast_rows``;
+def nearest_of_each(rows: DataFrame, queries: DataFrame, k: int, vector: str = "embedding", key: str = "vec_id", query_key: str = "query_id", query_vector: str = "query_vector", block_rows: int = 10_000) -> DataFrame:
+    """The k nearest rows of each query by cosine, ties by key: (query, key, similarity, rank).
 
-    a larger set goes in blocks of that size, each one pass over the rows. A task keeps k rows a query, by partial aggregation of the
-    top k, so the shuffle holds queries x tasks x k rows.
+    Queries are the stated, small side: they are counted and go in blocks of ``block_rows``, each one pass over the rows. A task keeps k
+    rows a query and no more, whatever it reads, so the shuffle holds queries x tasks x k rows. Null and zero vectors have no similarity.
+    Similarities count to twelve places, so that equal vectors tie.
     """
-    n = queries.count()
-    blocks = max(1, -(-n // broadcast_rows))
+    blocks = max(1, -(-queries.count() // block_rows))
+    kinds = dict(queries.dtypes)[query_key], dict(rows.dtypes)[key]
+    schema = f"`{query_key}` {kinds[0]}, `{key}` {kinds[1]}, similarity double"
     out = None
     for b in range(blocks):
         part = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64(query_key), blocks) == b)
-        scored = rows.crossJoin(F.broadcast(part)).select(query_key, key, cosine(F.col(vector), F.col(query_vector)).alias("similarity"))
-        best = scored.groupBy(query_key, F.spark_partition_id().alias("task")).agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("similarity")).alias("d"), key))), 1, k).alias("best"))
-        got = best.select(query_key, F.explode("best").alias("x")).select(query_key, (-F.col("x.d")).alias("similarity"), f"x.{key}")
-        got = got.withColumn("rank", F.row_number().over(W.partitionBy(query_key).orderBy(F.desc("similarity"), key))).where(F.col("rank") <= k)
+        asked = part.where(F.col(query_vector).isNotNull()).select(query_key, query_vector).toArrow()
+        shared = rows.sparkSession.sparkContext.broadcast((asked[query_key].to_pylist(), _unit(_matrix(asked[query_vector].combine_chunks()))))
+        got = rows.where(F.col(vector).isNotNull()).select(key, vector).mapInArrow(_top(shared, k, query_key, key), schema)
         out = got if out is None else out.unionByName(got)
-    return out
+    w = W.partitionBy(query_key).orderBy(F.desc("similarity"), key)
+    return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def _matrix(column) -> np.ndarray:
+    values = np.asarray(column.flatten(), np.float64)
+    return values.reshape(len(column), -1) if len(column) else np.zeros((0, 1))
+
+
+def _unit(m: np.ndarray) -> np.ndarray:
+    """Rows of length one; NaN for zero rows."""
+    n = np.sqrt((m * m).sum(1, keepdims=True))
+    return m / np.where(n > 0, n, np.nan)
+
+
+def _top(shared, k: int, query_key: str, key: str, step: int = 4096):
+    """Over a task's batches: the k best rows of each query so far."""
+
+    def run(batches):
+        names, asked = shared.value
+        if not names:
+            return
+        best, kept, kind = np.full((len(names), 0), -np.inf), np.zeros((len(names), 0), np.int64), None
+        ids: list = []
+        for batch in batches:
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                kind = part.column(0).type
+                new = np.round(asked @ _unit(_matrix(part.column(1))).T, 12)
+                held = [ids[i] for i in kept.ravel()]
+                ids = held + part.column(0).to_pylist()
+                kept = np.concatenate([np.arange(kept.size).reshape(kept.shape), np.broadcast_to(np.arange(part.num_rows) + kept.size, new.shape)], 1)
+                best = np.nan_to_num(np.concatenate([best, new], 1), nan=-np.inf)
+                place = np.argsort(np.argsort(np.array(ids, object), kind="stable"), kind="stable")
+                order = np.lexsort((place[kept], -best), 1)[:, :k]
+                best, kept = np.take_along_axis(best, order, 1), np.take_along_axis(kept, order, 1)
+        rows = [(names[q], ids[kept[q, c]], float(best[q, c])) for q in range(len(names)) for c in range(best.shape[1]) if best[q, c] > -np.inf]
+        if rows:
+            a, b, c = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b, kind), pa.array(c)], [query_key, key, "similarity"])
+
+    return run
 
 
 def search_knowledge(chunks: DataFrame, objects: DataFrame, query: list[float], k: int = 5, least: float = 0.0, around: int = 200) -> DataFrame:

@@ -80,7 +80,7 @@ def test_nearest_in_blocks(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     queries = df.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))
     whole = {tuple(r) for r in vectors.nearest_of_each(df, queries, 5).select("query_id", "vec_id", "rank").collect()}
-    blocks = {tuple(r) for r in vectors.nearest_of_each(df, queries, 5, broadcast_rows=1).select("query_id", "vec_id", "rank").collect()}
+    blocks = {tuple(r) for r in vectors.nearest_of_each(df, queries, 5, block_rows=1).select("query_id", "vec_id", "rank").collect()}
     assert whole == blocks and len(whole) == 20 and (0, 0, 1) in whole
     assert spark.range(1).select(vectors.cosine(F.array(F.lit(0.0)), F.array(F.lit(1.0)))).first()[0] is None
 
