@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import curation, evaluation, market, registry, vectors
+from . import curation, evaluation, market, records, registry, vectors
 
-__all__ = ["FLAGSHIP", "QUERIES", "SQL", "curation", "evaluation", "market", "vectors"]
+__all__ = ["FLAGSHIP", "QUERIES", "SQL", "curation", "evaluation", "market", "records", "vectors"]
 
 QUERIES = registry.QUERIES
 SQL = registry.SQL
