@@ -77,17 +77,27 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
             start = stop
 
 
-def map_text(df: DataFrame, columns: list[str], make: Callable[[], Callable[[dict], dict]], schema: str, text: str = "text") -> DataFrame:
-    """Applies ``make()(columns as lists) -> columns as lists`` to bounded slices of whole rows; no shuffle. ``make`` runs once per task."""
-    target = arrow_schema(schema)
+def map_text(df: DataFrame, columns: list[str], make: Callable[[], Callable[[dict], dict]], schema: str, text: str = "text", through: list[str] = ()) -> DataFrame:
+    """Applies ``make()(columns as lists) -> columns as lists`` to bounded slices of whole rows; no shuffle. ``make`` runs once per task.
+
+    Columns in ``through`` pass as they are; of these, only ``text`` is shown to ``make()``.
+    """
+    target, through = arrow_schema(schema), set(through)
 
     def run(batches):
         work = make()
         for part in slices(batches, text):
-            got = work({name: part.column(k).to_pylist() for k, name in enumerate(columns)})
-            yield pa.RecordBatch.from_arrays([pa.array(got[f.name], f.type) for f in target], schema=target)
+            own = dict(zip(columns, part.columns, strict=True))
+            got = work({name: c.to_pylist() for name, c in own.items() if name not in through or name == text})
+            yield pa.RecordBatch.from_arrays([own[f.name].cast(f.type) if f.name in through else pa.array(got[f.name], f.type) for f in target], schema=target)
+
+    return bounded(df).select(*(F.col(f"`{c}`") for c in columns)).mapInArrow(run, schema)
+
 
-    return bounded(df).select(*columns).mapInArrow(run, schema)
+def clear_of(df: DataFrame, names: list[str]) -> tuple[DataFrame, dict[str, str]]:
+    """The rows with columns of these names out of the way, and how to name them back."""
+    clash = {f"own {c}": c for c in df.columns if c.lower() in names}
+    return df.withColumnsRenamed({v: k for k, v in clash.items()}), clash
 
 
 # ---- words as bytes -------------------------------------------------------------------------------------------------

@@ -17,7 +17,7 @@ from collections import defaultdict
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import ddl, map_text, resident
+from ._common import clear_of, ddl, map_text, resident
 
 WIDTH = 10
 BLOCK_WORDS = 1_000_000
@@ -163,7 +163,7 @@ def overlaps(df: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_word
     Each block of items has its own broadcast automaton; every row meets them one after the other in the same pass.
     """
     keep = [id_column] if keep is None else keep
-    columns = [*keep, *([] if text in keep else [text])]
+    columns = [*(c for c in keep if c != text), text]
     blocks = [df.sparkSession.sparkContext.broadcast(b) for b in _blocks(benchmark, width, block_words, item, text)]
     schema = ddl(df.select(*keep)) + ", n_words long, hits array<struct<start:int,end:int>>, items array<string>"
 
@@ -179,11 +179,11 @@ def overlaps(df: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_word
                     spans, names = scan(w)
                     hits[j] += spans
                     items[j] |= names
-            return {n: rows[n] for n in keep} | {"n_words": [len(w) for w in words], "hits": [[{"start": s, "end": e} for s, e in _merged(h)] for h in hits], "items": [sorted(x) for x in items]}
+            return {"n_words": [len(w) for w in words], "hits": [[{"start": s, "end": e} for s, e in _merged(h)] for h in hits], "items": [sorted(x) for x in items]}
 
         return work
 
-    return map_text(df.select(*columns), columns, make, schema, text)
+    return map_text(df, columns, make, schema, text, keep)
 
 
 def _automaton(block, width: int) -> Automaton:
@@ -220,9 +220,11 @@ def cut(text: str, hits: list) -> str:
 
 def decontaminate(df: DataFrame, benchmark: DataFrame, width: int = WIDTH, max_coverage: float = MAX_COVERAGE, id_column: str = "doc_id", text: str = "text", size: str = "n_chars") -> DataFrame:
     """The rows without benchmark passages: a row over ``max_coverage`` goes, hit spans are cut out of others; untouched rows stay as they are."""
-    found = overlaps(df, benchmark, width, keep=df.columns, text=text)
+    plain, names = clear_of(df, ["n_words", "hits", "items"])
+    found = overlaps(plain, benchmark, width, keep=plain.columns, text=text)
     n_hit = F.aggregate("hits", F.lit(0), lambda a, x: a + (x["end"] - x["start"]))
     kept = found.where((F.size("hits") == 0) | (n_hit <= F.lit(max_coverage) * F.col("n_words")))
+    changed = [c for c in (text, size) if c in plain.columns]
 
     def make():
         def work(rows):
@@ -235,7 +237,8 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, width: int = WIDTH, max_c
 
         return work
 
-    return map_text(kept, [*df.columns, "hits"], make, ddl(df), text)
+    through = [c for c in plain.columns if c not in changed]
+    return map_text(kept, [*plain.columns, "hits"], make, ddl(plain), text, through).withColumnsRenamed(names)
 
 
 #: DuckDB: windows compared as the words themselves.

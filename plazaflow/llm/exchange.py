@@ -7,8 +7,8 @@ bit or a few bytes a key), and the unit, which travels compressed, is finished w
 recomputing a lost task gives the same units; a unit whose answers don't fit its own keys raises instead of giving wrong rows.
 
 Rows: buckets read units x buckets blocks; both sides of the last shuffle have one unit as a group, of bounded size. A bucket is answered
-in one worker, so buckets must be as many as keep (all distinct keys of all units) / buckets within its memory, and units large enough
-that a block holds more than a few keys: raise ``buckets`` (or spark.sql.shuffle.partitions) and ``unit_bytes`` together with the input.
+in one worker, so the number of buckets follows the size of the input; units should be large enough that a block holds more than a few
+keys: at many terabytes raise ``unit_bytes`` too.
 """
 
 from __future__ import annotations
@@ -17,13 +17,17 @@ from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from ._common import bounded, slices
 
 _LINK = "unit long, bucket int, block binary"
 #: Buckets for each shuffle partition; more than one evens out how buckets fall on tasks.
 BUCKETS_PER_PARTITION = 2
+#: Bytes of keys that one bucket should hold at most, and bytes of keys for each byte of input (eight a word of compressed text).
+BUCKET_BYTES = 128 << 20
+KEYS_PER_INPUT = 2
+_NO_SIZE = 1 << 50
 
 
 def _packed(batch: pa.RecordBatch) -> bytes:
@@ -37,8 +41,14 @@ def unpacked(block) -> pa.RecordBatch:
     return pa.ipc.open_stream(pa.py_buffer(block)).read_all().combine_chunks().to_batches()[0]
 
 
-def bucket_count(spark: SparkSession, buckets: int | None = None) -> int:
-    return buckets or BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+def bucket_count(df: DataFrame, buckets: int | None = None) -> int:
+    """As many as asked for; else some for each shuffle partition, and more where the planner's size of the input would fill a bucket over ``BUCKET_BYTES``."""
+    if buckets:
+        return buckets
+    least = BUCKETS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    # a size beyond any input means that the planner knows none
+    return least if size > _NO_SIZE else max(least, -(-KEYS_PER_INPUT * size // BUCKET_BYTES))
 
 
 def ask(df: DataFrame, columns: list[str], keys: Callable, answer: Callable, finish: Callable, schema: str, *, payload: Callable | None = None, text: str = "text", unit_bytes: int = 4 << 20, buckets: int | None = None) -> DataFrame:
@@ -46,7 +56,7 @@ def ask(df: DataFrame, columns: list[str], keys: Callable, answer: Callable, fin
 
     ``payload(batch)``: what travels to ``finish`` instead of the rows themselves.
     """
-    n = bucket_count(df.sparkSession, buckets)
+    n = bucket_count(df, buckets)
 
     def units(batches):
         # rows are cut by their own size alone, so that Arrow's batch limits don't matter

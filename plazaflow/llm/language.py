@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import bounded, ddl, fold_of, map_text, resident, slices
+from ._common import bounded, clear_of, ddl, fold_of, map_text, resident, slices
 from .scratch import Scratch
 
 SAMPLE_ROWS = 4000
@@ -153,7 +153,7 @@ def _worker_model(shared) -> Model:
 def identify(df: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, id_column: str = "doc_id") -> DataFrame:
     """(kept columns, lang_pred, score) for every row."""
     keep = [id_column] if keep is None else keep
-    columns = [*keep, *([] if text in keep else [text])]
+    columns = [*(c for c in keep if c != text), text]
     shared = df.sparkSession.sparkContext.broadcast((model.langs, model.source))
 
     def make():
@@ -161,11 +161,11 @@ def identify(df: DataFrame, model: Model, text: str = "text", keep: list[str] |
 
         def work(rows):
             got = here.predict(rows[text])
-            return {c: rows[c] for c in keep} | {"lang_pred": [x[0] for x in got], "score": [x[1] for x in got]}
+            return {"lang_pred": [x[0] for x in got], "score": [x[1] for x in got]}
 
         return work
 
-    return map_text(df, columns, make, ddl(df.select(*keep)) + ", lang_pred string, score double", text)
+    return map_text(df, columns, make, ddl(df.select(*keep)) + ", lang_pred string, score double", text, keep)
 
 
 def report(df: DataFrame, id_column: str = "doc_id") -> DataFrame:
@@ -175,8 +175,7 @@ def report(df: DataFrame, id_column: str = "doc_id") -> DataFrame:
 
 def keep_identified(df: DataFrame, least_score: float = LEAST_SCORE, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows whose language is known with ``least_score`` at least; columns as before."""
-    clash = [c for c in df.columns if c in ("lang_pred", "score")]
-    plain = df.withColumnsRenamed({c: f"own {c}" for c in clash})
+    plain, names = clear_of(df, ["lang_pred", "score"])
     got = identify(plain, fit(df, id_column, text), text, plain.columns)
     got = got.where((F.col("lang_pred") != "und") & (F.col("score") >= least_score)).drop("lang_pred", "score")
-    return got.withColumnsRenamed({f"own {c}": c for c in clash})
+    return got.withColumnsRenamed(names)

@@ -149,7 +149,7 @@ def redact(df: DataFrame, text: str = "text", size: str = "n_chars") -> DataFram
 
         return work
 
-    return map_text(df, df.columns, make, ddl(df), text)
+    return map_text(df, df.columns, make, ddl(df), text, [c for c in df.columns if c not in (text, size)])
 
 
 def report(spans: DataFrame, id_column: str = "doc_id") -> DataFrame:

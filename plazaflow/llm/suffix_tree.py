@@ -259,7 +259,7 @@ def score(df: DataFrame, id_column: str = "doc_id", text: str = "text", buckets:
         known = np.add.reduceat((counts > 0)[asked].astype(np.int64), at)
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes), pa.array(known), pa.array(np.full(len(sizes), total)), pa.array(base), batch.column(2)], [id_column, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    n = bucket_count(spark, buckets)
+    n = bucket_count(rows, buckets)
     schema = f"{id_column} {df.schema[id_column].dataType.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return ask(rows, [id_column, "held out", text], keys, _totals, finish, schema, payload=payload, text=text, buckets=n)
 

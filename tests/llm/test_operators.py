@@ -246,6 +246,17 @@ def test_substring_dedup_intervals_are_maximal(docs):
         assert all(a["end"] < b["start"] for a, b in zip(r.removed, r.removed[1:], strict=False))
 
 
+def test_buckets_follow_the_size_of_the_input(spark, tmp_path, monkeypatch, docs):
+    from plazaflow.llm import exchange
+
+    docs.write.parquet(f"{tmp_path}/docs")
+    read = spark.read.parquet(f"{tmp_path}/docs")
+    least = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert exchange.bucket_count(read) == least and exchange.bucket_count(read, 3) == 3
+    monkeypatch.setattr(exchange, "BUCKET_BYTES", 1000)
+    assert exchange.bucket_count(read) > least
+
+
 # ---- 7 LM scoring
 
 
@@ -444,6 +455,19 @@ def test_keep_one_keeps_a_row_of_each_group(docs, rows):
 # ---- all
 
 
+def test_pipeline_stages_keep_clashing_and_odd_columns(spark, docs):
+    from pyspark.sql import functions as F
+
+    names = ("n_words", "hits", "items", "lang_pred", "n_tokens", "component_id", "when", "deep", "odd name")
+    wide = docs.withColumns({n: F.lit(n) for n in names[:6]} | {"when": F.lit("2024-01-02 03:04:05").cast("timestamp"), "deep": F.array(F.struct(F.lit(1).alias("a"), F.create_map(F.lit("k"), F.lit(1.5)).alias("m"))), "odd name": F.lit(None).cast("decimal(9,2)")})
+    for stage in (language.keep_identified, simhash.keep_one, lambda d: decontaminate.decontaminate(d, corpus.benchmark(spark)), secrets.redact):
+        out = stage(wide)
+        assert out.columns == wide.columns and out.dtypes == wide.dtypes
+        row = out.where("doc_id = 3").first()
+        assert all(row[n] == n for n in names[:6]) and row.deep[0].m == {"k": 1.5} and row.when.year == 2024 and row["odd name"] is None
+    assert pieces.with_ids(wide).where("doc_id = 3").first().hits == "hits"
+
+
 def test_empty_tables(spark):
     from plazaflow.llm import queries
 
