@@ -22,7 +22,9 @@ from ._common import arrow_schema, bounded, ddl, resident, slices
 _MARK = "▁"
 _CHUNK = re.compile(f"{_MARK}+[^{_MARK}]*")
 #: Chunks kept by a worker; beyond that only those of the rows at hand stay.
-TABLE_SIZE = 150_000
+TABLE_SIZE = 250_000
+#: Text bytes that are looked up at once: a distinct chunk is then segmented once for more rows.
+_SLICE = 2 << 20
 
 def default_model() -> str:
     import public_tokenizers
@@ -94,7 +96,7 @@ def _sliced(df: DataFrame, id_column: str, text: str, model: str | None, columns
 
     def run(batches):
         work = segmenter(model)
-        for part in slices(batches, text):
+        for part in slices(batches, text, _SLICE):
             out = [row(*got) for got in work.look_up(part.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, t) for c, t in zip(zip(*out, strict=True), types[1:], strict=True))], list(names))
 
@@ -119,7 +121,7 @@ def with_ids(df: DataFrame, text: str = "text", model: str | None = None) -> Dat
 
     def run(batches):
         work = segmenter(model)
-        for part in slices(batches, text):
+        for part in slices(batches, text, _SLICE):
             rows = work.look_up(part.column(len(keep)).to_pylist())
             ids = [np.fromstring(",".join([x[0] for x in got]), np.int32, sep=",") if got else np.zeros(0, np.int32) for _, got in rows]
             sizes = np.array([len(i) for i in ids])
