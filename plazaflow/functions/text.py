@@ -185,6 +185,11 @@ def suffixed_number(c: Column) -> Column:
     return F.regexp_replace(t, "[KMB]$", "").try_cast("double") * factor
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once: inside a lambda, or where it stands several times, Spark would compute it again and again."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 # ---- degeneracy -----------------------------------------------------------------------------------------------------
 
 
@@ -199,8 +204,16 @@ def most_frequent(items: Column) -> Column:
 
 
 def ngrams(tokens: Column, n: int) -> Column:
-    """All runs of n tokens, space-joined; none for fewer tokens."""
-    return F.when(F.size(tokens) >= n, F.transform(F.sequence(F.lit(1), F.size(tokens) - (n - 1)), lambda i: F.array_join(F.slice(tokens, i, n), " "))).otherwise(F.array().cast("array<string>"))
+    """All runs of n tokens, space-joined; none for fewer tokens. Shifted slices are zipped, which is linear."""
+
+    def shifted(t):
+        m = F.greatest(F.size(t) - (n - 1), F.lit(0))
+        out = F.slice(t, F.lit(1), m)
+        for k in range(1, n):
+            out = F.zip_with(out, F.slice(t, F.lit(k + 1), m), lambda a, b: F.concat(a, F.lit(" "), b))
+        return out
+
+    return let(tokens, shifted)
 
 
 def ngram_repetition(tokens: Column, n: int = 5) -> Column:
@@ -213,22 +226,28 @@ def line_repetition(c: Column) -> Column:
 
 def fragment_repetition(c: Column, width: int = 24, step: int = 8, short: int = 12) -> Column:
     """Repetition of ``width`` characters taken every ``step``; fragments of under ``short`` characters when stripped are left out."""
-    n = F.length(c)
-    cut = F.when(n > short, F.transform(F.sequence(F.lit(0), F.greatest(n - short - 1, F.lit(0)), F.lit(step)), lambda i: F.trim(F.substring(c, i + 1, F.lit(width))))).otherwise(F.array().cast("array<string>"))
-    return most_frequent(F.filter(cut, lambda x: F.length(x) >= short))
+
+    def fragments(t):
+        starts = F.sequence(F.lit(0), F.greatest(F.length(t) - short - 1, F.lit(0)), F.lit(step))
+        return F.filter(F.transform(starts, lambda i: F.trim(F.substring(t, i + 1, F.lit(width)))), lambda x: F.length(x) >= short)
+
+    return most_frequent(let(c, fragments))
 
 
 def degenerate(c: Column) -> Column:
     """Repetition behind the think block: a 5-gram or a line 6 times, or a fragment 6 times in 120 characters or more."""
-    tail = after_think(F.coalesce(c, F.lit("")))
-    return (ngram_repetition(words(tail)) >= 6) | (line_repetition(tail) >= 6) | ((F.length(tail) >= 120) & (fragment_repetition(tail) >= 6))
+    found = lambda tail: (ngram_repetition(words(tail)) >= 6) | (line_repetition(tail) >= 6) | ((F.length(tail) >= 120) & (fragment_repetition(tail) >= 6))
+    return let(after_think(F.coalesce(c, F.lit(""))), found)
 
 
 def token_loop(c: Column) -> Column:
     """One token over and over: 80 times, or 30 times and 60 percent, or 100 tokens with at most 15 percent distinct."""
-    t = words(after_think(F.coalesce(c, F.lit(""))))
-    n, most = F.size(t), most_frequent(t)
-    return (n >= 10) & ((most >= 80) | ((most >= 30) & (most >= 0.6 * n)) | ((n >= 100) & (F.size(F.array_distinct(t)) <= 0.15 * n)))
+
+    def found(t):
+        n = F.size(t)
+        return let(most_frequent(t), lambda most: (n >= 10) & ((most >= 80) | ((most >= 30) & (most >= 0.6 * n)) | ((n >= 100) & (F.size(F.array_distinct(t)) <= 0.15 * n))))
+
+    return let(words(after_think(F.coalesce(c, F.lit("")))), found)
 
 
 def trailing_run(c: Column) -> Column:

@@ -159,14 +159,16 @@ def first_of(conversation: Column, role: str) -> Column:
 
 def pairs_only(conversation: Column) -> Column:
     """Questions directly followed by a reply that isn't blank, with it; system turns stay."""
-    n = F.size(conversation)
-    at = lambda i: F.try_element_at(conversation, i)
-    keep = lambda t, i: (
-        (t["from"] == "system")
-        | ((t["from"] == "human") & F.coalesce((at(i + 2)["from"] == "gpt") & (F.trim(at(i + 2)["value"]) != ""), F.lit(False)))
-        | ((t["from"] == "gpt") & (F.trim(t["value"]) != "") & (i > 0) & F.coalesce(F.when(i > 0, at(F.greatest(i, F.lit(1)))["from"] == "human"), F.lit(False)))
-    )
-    return F.when(n > 0, F.filter(conversation, keep)).otherwise(conversation)
+    from ..functions.text import let
+
+    def kept(c):
+        at = lambda i: F.try_element_at(c, i)
+        answered = lambda i: F.coalesce((at(i + 2)["from"] == "gpt") & (F.trim(at(i + 2)["value"]) != ""), F.lit(False))
+        asked = lambda i: (i > 0) & F.coalesce(at(F.greatest(i, F.lit(1)))["from"] == "human", F.lit(False))
+        keep = lambda t, i: (t["from"] == "system") | ((t["from"] == "human") & answered(i)) | ((t["from"] == "gpt") & (F.trim(t["value"]) != "") & asked(i))
+        return F.filter(c, keep)
+
+    return let(conversation, kept)
 
 
 def drop_seed(conversation: Column, flagged: Column) -> Column:
