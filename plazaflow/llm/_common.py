@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -27,6 +29,18 @@ def resident(kind: str, source, build: Callable):
     return _resident["built"]
 
 
+@contextlib.contextmanager
+def uncollected():
+    """No cyclic garbage collection meanwhile: it would walk the large tables of a worker again and again, and they hold no cycles."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def bounded(df: DataFrame) -> DataFrame:
     """The same rows; sets the session's byte limit for Arrow batches, unless a smaller one is set."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -88,7 +102,8 @@ def map_text(df: DataFrame, columns: list[str], make: Callable[[], Callable[[dic
         work = make()
         for part in slices(batches, text):
             own = dict(zip(columns, part.columns, strict=True))
-            got = work({name: c.to_pylist() for name, c in own.items() if name not in through or name == text})
+            with uncollected():
+                got = work({name: c.to_pylist() for name, c in own.items() if name not in through or name == text})
             yield pa.RecordBatch.from_arrays([own[f.name].cast(f.type) if f.name in through else pa.array(got[f.name], f.type) for f in target], schema=target)
 
     return bounded(df).select(*(F.col(f"`{c}`") for c in columns)).mapInArrow(run, schema)

@@ -17,10 +17,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ._common import arrow_schema, bounded, ddl, resident, slices
+from ._common import arrow_schema, bounded, ddl, resident, slices, uncollected
 
 _MARK = "▁"
-_CHUNK = re.compile(f"{_MARK}+[^{_MARK}]*")
+_CHUNK = re.compile(r" +[^ ]*")
 #: Chunks kept by a worker; beyond that only those of the rows at hand stay.
 TABLE_SIZE = 250_000
 #: Text bytes that are looked up at once: a distinct chunk is then segmented once for more rows.
@@ -46,43 +46,61 @@ class Segmenter:
         self.digits = [str(i) for i in range(size)]
         #: What an id decodes to alone; none for bytes and control ids.
         self.surface = [None if sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) else sp.id_to_piece(i) for i in range(size)]
-        #: Of each chunk: ids as text, their number, and what they decode to if that isn't the chunk itself.
+        #: Of each chunk, without its first marker and with spaces for others: ids as text, their number, and what they decode to if not itself.
         self.table: dict[str, tuple[str, int, str | None]] = {}
 
     def chunks(self, text: str) -> list[str]:
-        return _CHUNK.findall(_MARK + text.replace(" ", _MARK)) if text else []
+        """Chunks without their first marker, spaces standing for markers: what the library is given for each."""
+        if _MARK in text:
+            text = text.replace(_MARK, " ")
+        if not text or (text[0] != " " and "  " not in text):
+            return text.split(" ") if text else []
+        return [c[1:] for c in _CHUNK.findall(" " + text)]
 
     def ids(self, chunk: str) -> list[int]:
         # the library puts the first marker back itself, but returns nothing for an empty text
-        return [self.lone] if chunk == _MARK else self.sp.encode(chunk[1:])
+        return self.sp.encode(chunk) if chunk else [self.lone]
 
     def look_up(self, texts: list[str | None]) -> list[tuple[list[str], list[tuple[str, int, str | None]]]]:
         """The chunks of each text and their entries in the table; chunks that it lacks are segmented once."""
-        rows = [self.chunks(t or "") for t in texts]
-        wanted = set().union(*rows)
-        new = list(wanted.difference(self.table))
-        if len(self.table) + len(new) > TABLE_SIZE:
-            self.table = {c: self.table[c] for c in wanted.intersection(self.table)}
-        encoded = self.sp.encode([c[1:] for c in new], num_threads=1)
-        encoded = [[self.lone] if c == _MARK else ids for c, ids in zip(new, encoded, strict=True)]
-        digit, surface, with_bytes = self.digits.__getitem__, self.surface.__getitem__, []
-        for c, ids in zip(new, encoded, strict=True):
+        with uncollected():
+            return self._look_up(texts)
+
+    def _look_up(self, texts):
+        rows, new = [], set()
+        for t in texts:
+            chunks = self.chunks(t or "")
+            got = list(map(self.table.get, chunks))
+            if None in got:
+                new.update([c for c, x in zip(chunks, got, strict=True) if x is None])
+                got = None
+            rows.append([chunks, got])
+        more = self.segmented(list(new))
+        if len(self.table) + len(more) > TABLE_SIZE:
+            wanted = set().union(*(chunks for chunks, _ in rows))
+            self.table = {c: x for c, x in self.table.items() if c in wanted}
+        self.table.update(more)
+        find = self.table.__getitem__
+        return [(chunks, list(map(find, chunks)) if got is None else got) for chunks, got in rows]
+
+    def segmented(self, chunks: list[str]) -> dict[str, tuple[str, int, str | None]]:
+        digit, surface, with_bytes, out = self.digits.__getitem__, self.surface.__getitem__, [], {}
+        for c, ids in zip(chunks, self.sp.encode(chunks, num_threads=1), strict=True):
+            ids = ids if c else [self.lone]
             parts = list(map(surface, ids))
             if None in parts:
                 with_bytes.append((c, ids))
             else:
-                text = "".join(parts)
-                self.table[c] = ",".join(map(digit, ids)), len(ids), None if text == c else text
-        for (c, ids), d in zip(with_bytes, self.sp.decode([ids for _, ids in with_bytes], num_threads=1) if with_bytes else [], strict=True):
-            text = _MARK + d.replace(" ", _MARK)
-            self.table[c] = ",".join(map(digit, ids)), len(ids), None if text == c else text
-        find = self.table.__getitem__
-        return [(chunks, list(map(find, chunks))) for chunks in rows]
+                text = "".join(parts)[1:]
+                out[c] = ",".join(map(digit, ids)), len(ids), None if text == c else text.replace(_MARK, " ")
+        for (c, ids), text in zip(with_bytes, self.sp.decode([ids for _, ids in with_bytes], num_threads=1) if with_bytes else [], strict=True):
+            out[c] = ",".join(map(digit, ids)), len(ids), None if text == c else text
+        return out
 
 
 def text_of(chunks: list[str], got: list[tuple[str, int, str | None]]) -> str:
-    """The decoded text of a row: its chunks' texts, markers as spaces, without the first one."""
-    return "".join([c if x[2] is None else x[2] for c, x in zip(chunks, got, strict=True)])[1:].replace(_MARK, " ")
+    """The decoded text of a row: its chunks' texts, a space for the first marker of each but the first."""
+    return " ".join([c if x[2] is None else x[2] for c, x in zip(chunks, got, strict=True)])
 
 
 def segmenter(model: str) -> Segmenter:

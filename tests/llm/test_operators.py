@@ -217,9 +217,11 @@ def test_sentencepiece_equals_the_library(docs, rows):
 
 def test_sentencepiece_chunks():
     work = pieces.segmenter(pieces.default_model())
-    for t in ("", " ", "  ", " a", "a ", "▁x▁ ▁", "a\n b\t", "🦊🦊 🦊", "\x00 \u2028 é"):
+    for t in ("", " ", "  ", " a", "a ", "a  b", " a  b ", "▁x▁ ▁", "a\n b\t", "🦊🦊 🦊", "\x00 \u2028 é", "a " * 9 + " ", "x🦊  🦊 "):
         ids = [i for c in work.chunks(t) for i in work.ids(c)]
         assert ids == work.sp.encode(t)
+        ((chunks, got),) = work.look_up([t])
+        assert ",".join(x[0] for x in got) == ",".join(map(str, ids)) and pieces.text_of(chunks, got) == work.sp.decode(ids)
 
 
 # ---- 6 substring dedup
