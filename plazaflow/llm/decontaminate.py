@@ -17,7 +17,7 @@ from collections import defaultdict
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import clear_of, ddl, map_text, resident
+from ._common import ddl, map_text, resident
 
 WIDTH = 10
 BLOCK_WORDS = 1_000_000
@@ -157,33 +157,45 @@ def _blocks(benchmark: DataFrame, width: int, block_words: int, item: str, text:
     return blocks
 
 
-def overlaps(df: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_words: int = BLOCK_WORDS, id_column: str = "doc_id", item: str = "item_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """(kept columns, n_words, hits array<struct<start, end>> in words, items array<string>) for every row.
+def _shared(df: DataFrame, benchmark: DataFrame, width: int, block_words: int, item: str, text: str) -> list:
+    return [df.sparkSession.sparkContext.broadcast(b) for b in _blocks(benchmark, width, block_words, item, text)]
+
+
+def _scanner(blocks: list, width: int):
+    """From the words of some texts to their merged hit spans and their items, over all blocks."""
+    ready = [_automaton(b, width) for b in blocks] if len(blocks) == 1 else None
+
+    def scan_all(words: list[list[bytes]]) -> tuple[list[list[list[int]]], list[set[str]]]:
+        hits, items = [[] for _ in words], [set() for _ in words]
+        for k, b in enumerate(blocks):
+            scan = (ready[k] if ready else Automaton(b.value, width)).scan
+            for j, w in enumerate(words):
+                spans, names = scan(w)
+                hits[j] += spans
+                items[j] |= names
+        return [_merged(h) for h in hits], items
+
+    return scan_all
+
+
+def overlaps(df: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_words: int = BLOCK_WORDS, id_column: str = "doc_id", item: str = "item_id", text: str = "text") -> DataFrame:
+    """(id, n_words, hits array<struct<start, end>> in words, items array<string>) for every row.
 
     Each block of items has its own broadcast automaton; every row meets them one after the other in the same pass.
     """
-    keep = [id_column] if keep is None else keep
-    columns = [*(c for c in keep if c != text), text]
-    blocks = [df.sparkSession.sparkContext.broadcast(b) for b in _blocks(benchmark, width, block_words, item, text)]
-    schema = ddl(df.select(*keep)) + ", n_words long, hits array<struct<start:int,end:int>>, items array<string>"
+    blocks = _shared(df, benchmark, width, block_words, item, text)
 
     def make():
-        ready = [_automaton(b, width) for b in blocks] if len(blocks) == 1 else None
+        scan = _scanner(blocks, width)
 
         def work(rows):
             words = [words_of(t) for t in rows[text]]
-            hits, items = [[] for _ in words], [set() for _ in words]
-            for k, b in enumerate(blocks):
-                scan = (ready[k] if ready else Automaton(b.value, width)).scan
-                for j, w in enumerate(words):
-                    spans, names = scan(w)
-                    hits[j] += spans
-                    items[j] |= names
-            return {"n_words": [len(w) for w in words], "hits": [[{"start": s, "end": e} for s, e in _merged(h)] for h in hits], "items": [sorted(x) for x in items]}
+            hits, items = scan(words)
+            return {"n_words": [len(w) for w in words], "hits": [[{"start": s, "end": e} for s, e in h] for h in hits], "items": [sorted(x) for x in items]}
 
         return work
 
-    return map_text(df, columns, make, schema, text, keep)
+    return map_text(df, [id_column, text], make, ddl(df.select(id_column)) + ", n_words long, hits array<struct<start:int,end:int>>, items array<string>", text, [id_column])
 
 
 def _automaton(block, width: int) -> Automaton:
@@ -212,33 +224,34 @@ def cut(text: str, hits: list) -> str:
     """Text without the characters from the first to the last word of each hit span."""
     spans = [m.span() for m in _WORD.finditer(text)]
     out, at = [], 0
-    for h in hits:
-        out.append(text[at : spans[h["start"]][0]])
-        at = spans[h["end"] - 1][1]
+    for first, end in hits:
+        out.append(text[at : spans[first][0]])
+        at = spans[end - 1][1]
     return "".join([*out, text[at:]])
 
 
-def decontaminate(df: DataFrame, benchmark: DataFrame, width: int = WIDTH, max_coverage: float = MAX_COVERAGE, id_column: str = "doc_id", text: str = "text", size: str = "n_chars") -> DataFrame:
-    """The rows without benchmark passages: a row over ``max_coverage`` goes, hit spans are cut out of others; untouched rows stay as they are."""
-    plain, names = clear_of(df, ["n_words", "hits", "items"])
-    found = overlaps(plain, benchmark, width, keep=plain.columns, text=text)
-    n_hit = F.aggregate("hits", F.lit(0), lambda a, x: a + (x["end"] - x["start"]))
-    kept = found.where((F.size("hits") == 0) | (n_hit <= F.lit(max_coverage) * F.col("n_words")))
-    changed = [c for c in (text, size) if c in plain.columns]
+def decontaminate(df: DataFrame, benchmark: DataFrame, width: int = WIDTH, max_coverage: float = MAX_COVERAGE, item: str = "item_id", text: str = "text", size: str = "n_chars") -> DataFrame:
+    """The rows without benchmark passages: a row over ``max_coverage`` goes, hit spans are cut out of others; untouched rows stay as they are. One pass."""
+    blocks = _shared(df, benchmark, width, BLOCK_WORDS, item, text)
 
     def make():
+        scan = _scanner(blocks, width)
+
         def work(rows):
-            for k, h in enumerate(rows["hits"]):
-                if h:
+            words = [words_of(t) for t in rows[text]]
+            kept = []
+            for k, h in enumerate(scan(words)[0]):
+                kept.append(sum(e - s for s, e in h) <= max_coverage * len(words[k]))
+                if h and kept[-1]:
                     rows[text][k] = cut(rows[text][k], h)
                     if size in rows:
                         rows[size][k] = len(rows[text][k])
-            return rows
+            return rows | {"own kept": kept}
 
         return work
 
-    through = [c for c in plain.columns if c not in changed]
-    return map_text(kept, [*plain.columns, "hits"], make, ddl(plain), text, through).withColumnsRenamed(names)
+    through = [c for c in df.columns if c not in (text, size)]
+    return map_text(df, df.columns, make, ddl(df) + ", `own kept` boolean", text, through).where("`own kept`").drop("own kept")
 
 
 #: DuckDB: windows compared as the words themselves.
