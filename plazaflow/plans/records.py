@@ -120,7 +120,7 @@ def turn_labels(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", r.level_label(F.col("turn")).alias("label"), r.target_level(F.array(*map(F.lit, ("recall", "apply", "create"))), F.col("turn")).alias("level"))
 
 
-@query("SELECT p_partkey, p_size * 1000.0 AS thousands, p_size * 1.0 AS plain, p_size::BIGINT AS whole FROM part")
+@query("SELECT p_partkey, (p_size * 1000)::DOUBLE AS thousands, p_size::DOUBLE AS plain, p_size::BIGINT AS whole FROM part")
 def number_coercion(spark, sf_dir):
     s = F.col("p_size").cast("string")
     return table(spark, sf_dir, "part").select("p_partkey", t.suffixed_number(F.concat(F.lit("$"), s, F.lit("K"))).alias("thousands"), t.number_of(F.concat(s, F.lit(" kg"))).alias("plain"), t.coerce_int(F.concat(F.lit(" "), s)).alias("whole"))
