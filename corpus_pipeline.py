@@ -1,4 +1,4 @@
-"""The corpus pipeline: language ID, SimHash near-dedup, benchmark decontamination, secret scans, SentencePiece.
+"""The corpus pipeline: language ID, near-dedup by five-word shingles, benchmark decontamination, secret scans, SentencePiece.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each one's rows to the shared folder as Parquet and gives
 the next stage what it reads there. All but the last return the columns of ``documents``.
@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plazaflow.llm import decontaminate, language, pieces, secrets, simhash
+from plazaflow.llm import decontaminate, language, near_copies, pieces, secrets
 from plazaflow.llm._common import table
 from plazaflow.llm.scratch import Scratch
 
@@ -23,7 +23,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id stays."""
-    return simhash.keep_one(docs)
+    return near_copies.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +43,7 @@ def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("decontamination", decontamination), ("secret_scans", secret_scans), ("sentencepiece", sentencepiece)]
 
-#: Fingerprints (XXH64), the language model and BPE can't be written in SQL; the tests hold run() against a brute-force version.
+#: Shingle hashes, the language model and BPE can't be written in SQL; the tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 
