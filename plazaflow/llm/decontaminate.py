@@ -4,8 +4,8 @@ Words: A-Z lower-cased, then ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``. A window
 fewer words, but not none, is one window. The automaton gives at each word the longest run ending there that occurs in an item; a run
 of ``width`` or more is a window, and a shorter item is found where it is a suffix of the run. Words inside a window are hit.
 
-Null text has no words, an empty benchmark hits nothing. Items with equal words are found together. The items are test sets: they are
-read in blocks of at most ``block_words`` words, each with an automaton of its own that is broadcast, and their hits are united, so no
+Null text has no words, an empty benchmark hits nothing. Items with equal words are found together. Items with a null id hit like any
+other and count as one item together; only items_sha256 leaves them out. The items are test sets: they are read in blocks of at most ``block_words`` words, each with an automaton of its own that is broadcast, and their hits are united, so no
 broadcast grows with the table; one block is the usual case.
 """
 
@@ -35,7 +35,7 @@ def words_of(text: str | None) -> list[bytes]:
 class Automaton:
     """Generalised suffix automaton over words. States are list positions; 0 is the root."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], width: int):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], width: int):
         self.width = width
         self.next: list[dict[bytes, int]] = [{}]
         self.link, self.length = [-1], [0]
@@ -142,12 +142,12 @@ class Automaton:
         return [tuple(x) for x in spans], items
 
 
-def _blocks(benchmark: DataFrame, width: int, block_words: int, item: str, text: str) -> list[list[tuple[str, list[bytes]]]]:
+def _blocks(benchmark: DataFrame, width: int, block_words: int, item: str, text: str) -> list[list[tuple[str | None, list[bytes]]]]:
     """Items in blocks of at most ``block_words`` words (an item alone may have more), read one after the other."""
     blocks, size = [[]], 0
     for row in benchmark.select(F.col(item).cast("string"), text).toLocalIterator():
         words = words_of(row[1])
-        if not words or row[0] is None:
+        if not words:
             continue
         if size and size + len(words) > block_words:
             blocks.append([])
@@ -191,7 +191,7 @@ def overlaps(df: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_word
         def work(rows):
             words = [words_of(t) for t in rows[text]]
             hits, items = scan(words)
-            return {"n_words": [len(w) for w in words], "hits": [[{"start": s, "end": e} for s, e in h] for h in hits], "items": [sorted(x) for x in items]}
+            return {"n_words": [len(w) for w in words], "hits": [[{"start": s, "end": e} for s, e in h] for h in hits], "items": [sorted(x, key=lambda i: (i is None, i or "")) for x in items]}
 
         return work
 
