@@ -3,8 +3,9 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each one's rows to the shared folder as Parquet and gives
 the next stage what it reads there. All but the last return the columns of ``documents``.
 
-Nulls and odd rows: a null or letterless text goes in the first stage. Of rows that repeat an id one stays; rows without an id stay, one
-for each text. A text that a stage changes gets its new length as n_chars. Empty tables pass through all stages.
+Nulls and odd rows: a null or letterless text goes in the first stage. Rows that repeat an id or have none are near copies
+of others by their texts only; a row with an id stays before one without. A text that a stage changes gets its new length as n_chars.
+Empty tables pass through all stages.
 """
 
 from __future__ import annotations

@@ -98,17 +98,18 @@ def roots(nodes: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def keep_one(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of which none with a smaller id is in their component; all columns stay. Rows that repeat an id count once; rows without id count once for each text."""
+    """Of each component the row with the smallest id (a null id comes last, the smallest node on ties) stays; all columns stay.
+
+    Rows are told apart by id and text: rows of several components may share an id, and a row that repeats both counts once.
+    """
     scratch = Scratch(df.sparkSession)
-    named = df.where(F.col(id_column).isNotNull())
     node = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    prints = scratch.keep(named.select(F.col(id_column).alias("id"), node.alias("node")), "prints")
-    found = roots(named.select(node.alias("node"), F.coalesce(F.col(text), F.lit("")).alias("text")), scratch)
-    first = prints.groupBy("node").agg(F.min("id").alias("id")).join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = first.groupBy("root").agg(F.min("id").alias("id"))
-    stay = scratch.keep(smallest.select(F.col("id").alias(id_column)).distinct(), "stay")
-    kept = df.join(stay.hint("shuffle_hash"), id_column, "left_semi")
-    if not prints.groupBy("id").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates([id_column])
-    nameless = df.where(F.col(id_column).isNull())
-    return kept if nameless.isEmpty() else kept.unionByName(nameless.dropDuplicates([text]))
+    rows = scratch.keep(df.select(F.col(id_column).alias("id"), node.alias("node")).groupBy("id", "node").agg(F.count(F.lit(1)).alias("rows")), "rows")
+    found = roots(df.select(node.alias("node"), F.coalesce(F.col(text), F.lit("")).alias("text")), scratch)
+    first = rows.groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "node", "rows")).alias("row"))
+    first = first.join(found, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("row").alias("row"))
+    stay = scratch.keep(first.select(F.col("row.id").alias("own id"), F.col("row.node").alias("own node"), "row.rows"), "stay")
+    kept = df.join(stay.hint("shuffle_hash"), F.col(id_column).eqNullSafe(F.col("own id")) & (node == F.col("own node")), "left_semi")
+    if not stay.where("rows > 1").isEmpty():
+        kept = kept.withColumn("own node", node).dropDuplicates([id_column, "own node"]).drop("own node")
+    return kept

@@ -70,3 +70,14 @@ def test_bands_whose_ends_are_no_copies(spark, monkeypatch):
     rows = list(enumerate(texts))
     got = near_copies.keep_one(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
     assert sorted(r.doc_id for r in got.collect()) == survivors(rows)
+
+
+def test_repeated_and_null_ids(spark):
+    """Unrelated rows of one id stay; near copies go whether they have an id or not."""
+    rng = random.Random(3)
+    a, b, c, d = (["".join(rng.choices("abcdefghij", k=6)) for _ in range(100)] for _ in range(4))
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (1, " ".join(b)), (2, edited(b, 1, rng)), (None, edited(a, 1, rng)), (None, " ".join(c)), (None, edited(c, 1, rng)), (None, " ".join(c)), (3, " ".join(d))]
+    got = near_copies.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    named = sorted((r.doc_id, r.text) for r in got if r.doc_id is not None)
+    assert named == sorted([(1, " ".join(a)), (1, " ".join(b)), (3, " ".join(d))])
+    assert [r.text for r in got if r.doc_id is None] in ([rows[5][1]], [rows[6][1]])
