@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parsing import ratio
+from ..sources.stored import kept as stored
 
 #: Right titles that every task may hold; beyond that the right side goes in blocks.
 BLOCK = 20_000
@@ -54,17 +55,62 @@ def best_match(left: DataFrame, right: DataFrame, title: str, other: str, order:
     return out.where(F.col("own match.score") >= least).select(*left.columns, *(F.col(f"own match.{f}").alias(f"match_{f}") for f in fields))
 
 
-def greedy_distinct(df: DataFrame, title: str, order: str, groups: list[str], most: int = 90) -> DataFrame:
-    """Rows in order, each kept unless its ratio to a kept one is ``most`` or more. The rule is sequential, so it runs within given groups."""
+def _pieces(n: int, most: int) -> tuple[int, list[tuple[int, int]]]:
+    """For a title of ``n`` characters: how many single insertions and deletions may lie between it and another at ratio ``most``, and its cuts into one piece more."""
+    longest = n * (201 - most) // (most - 1)
+    ops = (101 - most) * (n + longest) // 100
+    return ops, [(n * k // (ops + 1), n * (k + 1) // (ops + 1)) for k in range(ops + 1)]
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        kept: list[str] = []
-        keep = []
-        for t in pdf.sort_values(order)[title]:
-            new = t is not None and not any(2 * min(len(t), len(k)) * 100 >= (most - 1) * (len(t) + len(k)) and ratio(t, k) >= most for k in kept)
-            keep.append(new)
-            if new:
-                kept.append(t)
-        return pdf.sort_values(order)[keep]
 
-    return df.groupBy(*groups).applyInPandas(run, df.schema)
+def _piece_keys(most: int):
+    def run(s: pd.Series) -> pd.Series:
+        def one(t):
+            ops, cuts = _pieces(len(t), most)
+            return [{"piece": t[a:b], "at": a if b > a else 0, "ops": ops} for a, b in cuts]
+
+        return pd.Series([one(t.lower()) for t in s])
+
+    return run
+
+
+def _gram_keys(most: int):
+    def run(s: pd.Series) -> pd.Series:
+        def one(t):
+            n = len(t)
+            partners = range(n * (most - 1) // (201 - most), n * (201 - most) // (most - 1) + 2)
+            sizes = {b - a for m in partners for a, b in _pieces(m, most)[1]}
+            return [{"piece": t[a : a + k], "at": a} for k in sizes for a in (range(n - k + 1) if k else (0,))]
+
+        return pd.Series([one(t.lower()) for t in s])
+
+    return run
+
+
+def greedy_distinct(df: DataFrame, title: str, order: str, groups: list[str] = (), most: int = 90) -> DataFrame:
+    """Rows in order, each kept unless its ratio to a kept one is ``most`` or more, over the whole table or within each of the given groups; rows without title go.
+
+    Only the first row of a title can stay, so distinct titles are compared. A pair at the ratio has few insertions and deletions between
+    them: cut into one piece more, the later title has a piece that the earlier one holds whole, at about the same place. These pairs
+    meet by an equi-join on the piece, and the ratio itself decides. Then rounds keep titles without an undecided earlier neighbour and
+    drop what is close to these, so each decision is that of the one-by-one rule.
+    """
+    group = F.struct(*(F.col(f"`{g}`") for g in groups)) if groups else F.struct(F.lit(0))
+    rows = df.where(F.col(title).isNotNull()).withColumn("own group", group)
+    firsts = stored(rows.groupBy("own group", F.col(title).alias("own title")).agg(F.min(order).alias("own order")))
+    near = F.pandas_udf(lambda a, b: pd.Series([ratio(x, y) >= most for x, y in zip(a, b, strict=True)], dtype=bool), "boolean")
+    place = F.struct("own group", "own order", "own title")
+    later = firsts.select(place.alias("later"), F.explode(F.pandas_udf(_piece_keys(most), "array<struct<piece:string,at:int,ops:int>>")("own title")).alias("x"))
+    earlier = firsts.select(place.alias("earlier"), F.explode(F.pandas_udf(_gram_keys(most), "array<struct<piece:string,at:int>>")("own title")).alias("y"))
+    meet = (F.col("x.piece") == F.col("y.piece")) & (F.col("later.own group") == F.col("earlier.own group")) & (F.abs(F.col("x.at") - F.col("y.at")) <= F.col("x.ops")) & (F.col("earlier") < F.col("later"))
+    edges = stored(later.join(earlier, meet).select("later", "earlier").distinct().where(near(F.col("later.own title"), F.col("earlier.own title"))))
+    gone = None
+    while not edges.isEmpty():
+        heads = edges.select(F.col("earlier").alias("head")).distinct().join(edges.select(F.col("later").alias("head")), "head", "left_anti")
+        dropped = stored(edges.join(heads, F.col("earlier") == F.col("head"), "left_semi").select(F.col("later").alias("out")).distinct())
+        gone = dropped if gone is None else gone.union(dropped)
+        edges = stored(edges.join(dropped, F.col("later") == F.col("out"), "left_anti").join(dropped, F.col("earlier") == F.col("out"), "left_anti"))
+    stay = firsts.select(place.alias("own place"))
+    if gone is not None:
+        stay = stay.join(gone, F.col("own place") == F.col("out"), "left_anti")
+    named = rows.withColumn("own place", F.struct("own group", F.col(order).alias("own order"), F.col(title).alias("own title")))
+    return named.join(stay, "own place", "left_semi").dropDuplicates(["own place"]).select(*(F.col(f"`{c}`") for c in df.columns))

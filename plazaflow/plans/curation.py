@@ -308,7 +308,7 @@ def fuzzy_match(spark, sf_dir):
 
 @query()
 def fuzzy_distinct(spark, sf_dir):
-    return matching.greedy_distinct(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size"), "p_name", "p_partkey", ["p_size"])
+    return matching.greedy_distinct(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size"), "p_name", "p_partkey")
 
 
 @query("SELECT event_id, 'k' AS path, 'integer' AS type FROM events WHERE props IS NOT NULL")
