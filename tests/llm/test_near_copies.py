@@ -81,3 +81,42 @@ def test_repeated_and_null_ids(spark):
     named = sorted((r.doc_id, r.text) for r in got if r.doc_id is not None)
     assert named == sorted([(1, " ".join(a)), (1, " ".join(b)), (3, " ".join(d))])
     assert [r.text for r in got if r.doc_id is None] in ([rows[5][1]], [rows[6][1]])
+
+
+def test_blocks_of_a_band_meet_each_other(spark, monkeypatch):
+    """Bands cut into many small blocks give the components of the whole band."""
+    monkeypatch.setattr(near_copies, "_bands", lambda texts: [[1, 2]] * len(texts))
+    rng = random.Random(6)
+    texts = []
+    for _ in range(10):
+        words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(80)]
+        texts += [" ".join(words), edited(words, 1, rng), edited(words, 2, rng)]
+    rows = [(k, t) for k, t in enumerate(texts)]
+    nodes = spark.createDataFrame(rows, "node long, text string")
+    found = {r.node: r.root for r in near_copies.roots(nodes, near_copies.Scratch(spark), block=4).collect()}
+    assert sorted({found.get(k, k) for k, _ in rows}) == survivors(rows)
+
+
+def test_forest_against_all_pairs():
+    rng = random.Random(8)
+    texts = []
+    for _ in range(15):
+        words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(rng.randint(4, 60))]
+        texts += [" ".join(words), edited(words, 1, rng), edited(words, 3, rng), " ".join(words[:-2])]
+    nodes = near_copies.np.arange(len(texts)) * 7
+    roots = near_copies.np.array([x - x % 14 if k % 5 == 0 else x for k, x in enumerate(nodes.tolist())])
+    links = near_copies.forest(nodes, roots, near_copies._sets(texts))
+    assert len({b for _, b in links}) == len(links)
+
+    def parts(pairs):
+        label = {int(n): int(n) for n in nodes}
+        while True:
+            before = dict(label)
+            for a, b in [*pairs, *zip(nodes.tolist(), roots.tolist(), strict=True)]:
+                label[a] = label[b] = min(label[a], label[b])
+            if before == label:
+                return label
+
+    sets = [shingles(t) for t in texts]
+    every = [(int(nodes[i]), int(nodes[j])) for i, a in enumerate(sets) for j, b in enumerate(sets[:i]) if 10 * len(a & b) >= 8 * len(a | b)]
+    assert parts(links) == parts(every)
