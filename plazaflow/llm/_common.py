@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 #: Text bytes that a Python worker handles at once; one document may be longer and is then handled alone.
 SLICE_BYTES = 1 << 20
@@ -54,14 +55,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def type_text(kind: DataType) -> str:
+    """A type as text, names within it quoted."""
+    if isinstance(kind, StructType):
+        return "struct<" + ", ".join(f"{quoted(f.name)}: {type_text(f.dataType)}" for f in kind) + ">"
+    if isinstance(kind, ArrayType):
+        return f"array<{type_text(kind.elementType)}>"
+    if isinstance(kind, MapType):
+        return f"map<{type_text(kind.keyType)}, {type_text(kind.valueType)}>"
+    return kind.simpleString()
+
+
 def ddl(df: DataFrame) -> str:
     """The schema as text, names quoted."""
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    return ", ".join(f"{quoted(f.name)} {type_text(f.dataType)}" for f in df.schema)
 
 
 def arrow_schema(text: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
 
     return to_arrow_schema(StructType.fromDDL(text))
 
@@ -106,7 +121,7 @@ def map_text(df: DataFrame, columns: list[str], make: Callable[[], Callable[[dic
                 got = work({name: c.to_pylist() for name, c in own.items() if name not in through or name == text})
             yield pa.RecordBatch.from_arrays([own[f.name].cast(f.type) if f.name in through else pa.array(got[f.name], f.type) for f in target], schema=target)
 
-    return bounded(df).select(*(F.col(f"`{c}`") for c in columns)).mapInArrow(run, schema)
+    return bounded(df).select(*(F.col(quoted(c)) for c in columns)).mapInArrow(run, schema)
 
 
 def clear_of(df: DataFrame, names: list[str]) -> tuple[DataFrame, dict[str, str]]:
@@ -167,11 +182,32 @@ class Words:
         self.counts = np.diff(at)
 
     def hashes(self) -> np.ndarray:
-        up, down = powers(0, len(self.buffer) + 1)
-        sums = np.zeros(len(self.buffer) + 1, np.uint64)
-        np.cumsum(_BYTE[self.buffer] * up[: len(self.buffer)], out=sums[1:])
-        h = (sums[self.ends] - sums[self.starts]) * down[self.starts]
-        return mix(h + (self.ends - self.starts).astype(np.uint64))
+        """Computed for runs of words of about ``SLICE_BYTES``, so that temporary arrays don't grow with the texts."""
+        out = np.zeros(len(self.starts), np.uint64)
+        at = 0
+        while at < len(out):
+            first = int(self.starts[at])
+            stop = max(at + 1, int(np.searchsorted(self.ends, first + SLICE_BYTES, "right")))
+            last = int(self.ends[stop - 1])
+            out[at:stop] = self._run(at, stop, first, last) if last - first <= SLICE_BYTES else self._long(first, last)
+            at = stop
+        return mix(out + (self.ends - self.starts).astype(np.uint64))
+
+    def _run(self, at: int, stop: int, first: int, last: int) -> np.ndarray:
+        up, down = powers(0, last - first + 1)
+        sums = np.zeros(last - first + 1, np.uint64)
+        np.cumsum(_BYTE[self.buffer[first:last]] * up[: last - first], out=sums[1:])
+        starts = self.starts[at:stop] - first
+        return (sums[self.ends[at:stop] - first] - sums[starts]) * down[starts]
+
+    def _long(self, first: int, last: int) -> np.uint64:
+        """One word of over SLICE_BYTES, in parts."""
+        total = 0
+        for a in range(first, last, SLICE_BYTES):
+            part = self.buffer[a : min(last, a + SLICE_BYTES)]
+            own = int((_BYTE[part] * powers(0, len(part))[0][: len(part)]).sum(dtype=np.uint64))
+            total += own * pow(_BASES[0], a - first, 1 << 64)
+        return np.uint64(total & (1 << 64) - 1)
 
 
 def windows(words: np.ndarray, width: int, which: int) -> np.ndarray:

@@ -4,8 +4,11 @@ Words are ``[^\\x20\\x09-\\x0D]+``, unchanged. A window is ``width`` consecutive
 whose hash occurs at another place too (in any document, the same one included) is removed; windows are judged on the input. The
 comparison key has 63 bits of one rolling hash, and the bucket it is counted in comes from a second, independent one.
 
+Counting: units of documents send their distinct hashes to hash buckets, and a Spark task counts each bucket (see exchange).
+
 Null text has no words. Documents of fewer than ``width`` words have no window and stay whole. Repeated rows are copies of each other, so
-all their windows repeat.
+all their windows repeat. An empty table gives an empty result. Only id and text are read, so other columns can't clash. A very long text
+is handled whole, alone in its unit, in some 80 bytes a word.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import Words, windows
-from .exchange import ask
+from .exchange import ask, bucket_count, scanned
 
 WIDTH = 35
 
@@ -49,7 +52,7 @@ class _Unit:
         self.bounds = np.searchsorted(bucket[new], np.arange(buckets + 1))
 
 
-def _repeated(blocks: list) -> list[bytes]:
+def _repeated(blocks: list, _: list) -> list[bytes]:
     parts = [np.frombuffer(b, np.uint64) for b in blocks]
     keys = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
     once = (keys & np.uint64(1)).astype(bool)
@@ -64,23 +67,27 @@ def _repeated(blocks: list) -> list[bytes]:
     return [np.packbits(x).tobytes() for x in np.split(hit, ends[:-1])]
 
 
-def remove_repeats(df: DataFrame, width: int = WIDTH, id_column: str = "doc_id", text: str = "text", buckets: int | None = None) -> DataFrame:
+def remove_repeats(df: DataFrame, width: int = WIDTH, id_column: str = "doc_id", text: str = "text", buckets: int | None = None, unit_bytes: int | None = None) -> DataFrame:
     """(id, n_words, n_removed, removed array<struct<start, end>> in words, kept_text with one space between words) for every row."""
     key_type = df.schema[id_column].dataType.simpleString()
     schema = f"{id_column} {key_type}, n_words long, n_removed long, removed array<struct<start:int,end:int>>, kept_text string"
+    rows = scanned(df.select(id_column, text))
+    in_all = bucket_count(rows, text, buckets)
 
     def keys(batch, n):
         unit = _Unit(batch, width, n)
-        return [unit.keys[a:b].tobytes() for a, b in zip(unit.bounds, unit.bounds[1:], strict=False)]
+        return {k: unit.keys[unit.bounds[k] : unit.bounds[k + 1]].tobytes() for k in np.flatnonzero(np.diff(unit.bounds)).tolist()}
 
     def finish(batch, answers):
-        unit = _Unit(batch, width, len(answers))
-        hit = []
-        for bits, size in zip(answers, np.diff(unit.bounds), strict=True):
-            got = np.unpackbits(np.frombuffer(bits, np.uint8))
-            if not size <= len(got) < size + 8:
+        unit = _Unit(batch, width, in_all)
+        hit, sizes = [np.zeros(0, np.uint8)], np.diff(unit.bounds)
+        if set(answers) != set(np.flatnonzero(sizes).tolist()):
+            raise ValueError("a unit met answers for other keys: its rows came in another order when read again")
+        for k in sorted(answers):
+            got = np.unpackbits(np.frombuffer(answers[k], np.uint8))
+            if not sizes[k] <= len(got) < sizes[k] + 8:
                 raise ValueError("a unit met answers for other keys: its rows came in another order when read again")
-            hit.append(got[:size])
+            hit.append(got[: sizes[k]])
         hit = np.concatenate(hit).astype(bool)[unit.inverse]
         total = int(unit.words.offsets[-1])
         change = np.zeros(total + 1, np.int64)
@@ -105,7 +112,7 @@ def remove_repeats(df: DataFrame, width: int = WIDTH, id_column: str = "doc_id",
             out["kept_text"].append(b" ".join(words))
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(unit.words.counts), pa.array(out["n_removed"], pa.int64()), pa.array(out["removed"], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array(out["kept_text"], pa.binary()).cast(pa.string())], [id_column, "n_words", "n_removed", "removed", "kept_text"])
 
-    return ask(df, [id_column, text], keys, _repeated, finish, schema, text=text, buckets=buckets)
+    return ask(rows, keys, _repeated, finish, schema, in_all, text=text, unit_bytes=unit_bytes)
 
 
 def report(removed: DataFrame, id_column: str = "doc_id") -> DataFrame:

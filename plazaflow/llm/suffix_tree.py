@@ -1,271 +1,331 @@
 """LM scoring with a probabilistic suffix tree over bytes, beside a unigram base over words.
 
 Events of a text: A-Z lower-cased, words ``[^\\x20\\x09-\\x0D]+`` one space apart, then one end. The tree's symbols are the bytes of the
-words, the space, and the end (a line feed, which no word has). Training counts the symbols after every context of up to ``DEPTH``
-bytes over all training texts. A context is kept if its share of all symbols is ``LEAST_SHARE`` or more (``MOST_CONTEXTS`` in all at most,
-at any corpus size, so the tree can be broadcast) and its next-symbol distribution diverges from its parent's by
-``LEAST_BITS`` bits a distinct symbol or more (count times Kullback-Leibler divergence). Kept contexts are closed under suffixes and
-prefixes, so that the longest kept suffix is the state of an automaton. Distributions are smoothed with ``PRIOR`` pseudo-counts of
-their parent's; the root covers all 256 bytes.
+words, the space, and the end (a line feed, which no word has). A context is the up to ``DEPTH`` bytes before a symbol; line feeds stand
+before the beginning. Training counts the symbols after every context over all training texts. Distributions are smoothed with ``PRIOR``
+pseudo-counts of the distribution after the context without its first byte; the root covers all 256 bytes with half a count each.
 
-The base needs the training count of every word: units of rows ask hash buckets about their distinct words (see exchange).
+A context is retained if its next-symbol distribution diverges from its parent's by ``LEAST_BITS`` bits a distinct symbol or more (count
+times Kullback-Leibler divergence); that is the only test, so the tree grows with the corpus. A symbol is scored in the longest retained
+suffix of what is before it.
+
+Nothing of the model is collected or broadcast but the root's at most 256 symbols. Contexts with their symbols are rows of a table
+(``grams``: the last ``DEPTH`` bytes and the symbol, in 48 bits), which Spark counts and scores with windows that lie in one partitioning by
+the last three bytes before the symbol (2**24 rows a key at most). Texts meet the scores by ask and answer: units of rows ask hash buckets
+about their distinct grams, and about their distinct words for the base (see exchange).
 
 Training texts are those whose crc32(id as text) mod 10 is not 0; a null id is held out. Null text counts as empty: one end. With
-nothing to train on, the base divides by 0.1 and the tree is its uniform root.
+nothing to train on, the base divides by 0.1 and the tree is its uniform root. An empty table gives an empty result; repeated rows are
+scored alike and each counts in training. Only id and text are read, so other columns can't clash. A very long text is handled whole,
+alone in its unit, in some 10 bytes a byte.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._common import Words, bounded, fold_of, slices
-from .exchange import ask, bucket_count
+from ._common import Words, bounded, fold_of, mix, slices
+from .exchange import ask, bucket_count, scanned
 from .scratch import Scratch
 
 DEPTH = 5
-LEAST_SHARE = 3e-6
-#: Contexts that are collected at most; if more hold the share, it is doubled until no more do.
-MOST_CONTEXTS = 200_000
 LEAST_BITS = 4.0
 PRIOR = 4.0
 FOLDS = 10
 #: Pseudo-counts of the base.
 _ADD = 0.1
 _END = b"\n"
+#: Symbols that are handled at once.
+_RUN = 1 << 20
 #: The end as a token among hashes of words.
 _END_HASH = np.uint64(0x9E3779B97F4A7C15)
-#: Symbols that one lane scores before the next begins.
-_LANE = 512
 
 
 def tokens_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
+def grams_of(texts: list[bytes]) -> tuple[Iterator[np.ndarray], np.ndarray]:
+    """Each symbol of these texts (words one space apart) with the DEPTH bytes before it, packed, in runs of ``_RUN``; and where each text's begin."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    # a text's end is the first of the line feeds before the next
+    stream = np.frombuffer(_END * DEPTH + (_END * DEPTH).join(texts) + _END, np.uint8)
+    starts, total = np.cumsum(sizes) - sizes, int(sizes.sum())
+
+    def runs():
+        for a in range(0, total, _RUN):
+            at = np.arange(a, min(total, a + _RUN))
+            at += (DEPTH - 1) * (np.searchsorted(starts, at, "right") - 1)
+            out = np.zeros(len(at), np.uint64)
+            for _ in range(DEPTH + 1):
+                out <<= np.uint64(8)
+                out |= stream[at]
+                at += 1
+            yield out
+
+    return runs(), starts
+
+
+def distinct_grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams, sorted, and their numbers."""
+    parts = [np.unique(g, return_counts=True) for g in grams_of(texts)[0]]
+    if len(parts) == 1:
+        return parts[0]
+    return merged(parts)
+
+
+def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams of several (grams, numbers), sorted, and the sums of their numbers."""
+    grams, n = np.concatenate([np.zeros(0, np.uint64), *(g for g, _ in parts)]), np.concatenate([np.zeros(0, np.int64), *(n for _, n in parts)])
+    order = np.argsort(grams, kind="stable")
+    grams, n = grams[order], n[order]
+    at = np.flatnonzero(np.append(True, grams[1:] != grams[:-1])) if len(grams) else np.zeros(0, np.int64)
+    return grams[at], np.add.reduceat(n, at) if len(at) else n
+
+
 # ---- training -------------------------------------------------------------------------------------------------------
 
 
 def _gram_counts(batches):
-    """(gram, n): each symbol with the DEPTH bytes before it, packed; a text begins after line feeds."""
-    pad = _END * DEPTH
+    """(gram, n) of slices of rows (trained, text): distinct grams with their number in training texts, 0 for those of held-out ones only."""
     held, size = [], 0
 
-    def summed():
-        grams, n = np.concatenate([g for g, _ in held]), np.concatenate([n for _, n in held])
-        order = np.argsort(grams, kind="stable")
-        grams, n = grams[order], n[order]
-        at = np.flatnonzero(np.append(True, grams[1:] != grams[:-1]))
-        return grams[at], np.add.reduceat(n, at)
-
     def rows(grams, n):
         return pa.RecordBatch.from_arrays([pa.array(grams.astype(np.int64)), pa.array(n)], ["gram", "n"])
 
     for part in slices(batches):
-        stream = np.frombuffer(pad + pad.join([b" ".join(tokens_of(t)) + _END for t in part.column(0).to_pylist()]), np.uint8).astype(np.uint64)
-        grams = np.zeros(len(stream) - DEPTH, np.uint64)
-        for k in range(DEPTH + 1):
-            grams = (grams << np.uint64(8)) | stream[k : len(stream) - DEPTH + k]
-        grams = grams[_symbols(stream)]
-        held.append(np.unique(grams, return_counts=True))
-        size += len(held[-1][0])
+        texts = {True: [], False: []}
+        for trained, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+            texts[trained].append(b" ".join(tokens_of(t)))
+        for trained, own in texts.items():
+            if own:
+                grams, n = distinct_grams(own)
+                held.append((grams, n if trained else np.zeros(len(n), np.int64)))
+                size += len(grams)
         if size > 1 << 20:
-            held = [summed()]
+            held = [merged(held)]
             size = len(held[0][0])
             if size > 1 << 20:
                 yield rows(*held[0])
                 held, size = [], 0
     if held:
-        yield rows(*summed())
-
-
-def _symbols(stream: np.ndarray) -> np.ndarray:
-    """Which positions from DEPTH on are symbols of a text: all but the pads.
-
-    A run of line feeds is pads and ends in turn. The stream's first run begins with pads, any other with the end of a text.
-    """
-    feeds = stream == 10
-    begins = feeds & ~np.append(False, feeds[:-1])
-    place = np.arange(len(stream)) - np.maximum.accumulate(np.where(begins, np.arange(len(stream)), 0))
-    first = np.cumsum(begins) == 1
-    return (~feeds | np.where(first, place % (DEPTH + 1) == DEPTH, place % (DEPTH + 1) == 0))[DEPTH:]
-
-
-def train(df: DataFrame, scratch: Scratch, text: str = "text") -> Tree:
-    """Counts in Spark; what is collected are the next symbols of contexts that hold LEAST_SHARE of all."""
-    grams = scratch.keep(bounded(df).select(F.col(text).alias("text")).mapInArrow(_gram_counts, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "grams")
-    total = grams.agg(F.sum("n")).first()[0] or 0
-    mask = F.expr("shiftleft(1L, 8 * (depth + 1)) - 1")
-    nexts = grams.select(F.explode(F.sequence(F.lit(0), F.lit(DEPTH))).alias("depth"), "gram", "n").select("depth", F.col("gram").bitwiseAND(mask).alias("gram"), "n").groupBy("depth", "gram").agg(F.sum("n").alias("n"))
-    nexts = scratch.keep(nexts.withColumn("context", F.shiftright("gram", 8)), "nexts")
-    often, share = scratch.keep(nexts.groupBy("depth", "context").agg(F.sum("n").alias("total")).where(F.col("total") >= F.lit(LEAST_SHARE * total)), "often"), LEAST_SHARE
-    while often.count() > MOST_CONTEXTS:
-        share *= 2
-        often = often.where(F.col("total") >= F.lit(share * total))
-    often = often.select("depth", "context")
-    found = nexts.join(often, ["depth", "context"]).select("depth", "gram", "n").toArrow()
-    return Tree(*(np.asarray(found[c].combine_chunks()) for c in ("depth", "gram", "n")))
-
-
-class Tree:
-    """States (0: the root), their symbol classes' log10 probabilities, and transitions."""
-
-    def __init__(self, depth: np.ndarray, gram: np.ndarray, n: np.ndarray):
-        seen = np.unique(gram[depth == 0]) if len(gram) else np.zeros(0, np.int64)
-        #: Bytes by class; the last class is any byte that training never saw.
-        self.classes = np.full(256, len(seen), np.int32)
-        self.classes[seen] = np.arange(len(seen))
-        width = len(seen) + 1
-        contexts: dict[bytes, np.ndarray] = {}
-        for d in range(DEPTH + 1):
-            at = depth == d
-            g, c = gram[at], n[at]
-            order = np.argsort(g)
-            g, c = g[order], c[order]
-            cuts = np.flatnonzero(np.append(True, (g[1:] >> 8) != (g[:-1] >> 8)))
-            for a, b in zip(cuts, [*cuts[1:], len(g)], strict=True) if len(g) else ():
-                counts = np.zeros(width)
-                counts[self.classes[g[a:b] & 255]] = c[a:b]
-                contexts[int(g[a] >> 8).to_bytes(d, "big") if d else b""] = counts
-        root = contexts.get(b"", np.zeros(width))
-        unseen = 256 - len(seen)
-        # per byte: the last column is one of the unseen bytes
-        first = (root + 0.5) / (root.sum() + 128)
-        kept = {b""}
-        smooth: dict[bytes, np.ndarray] = {b"": first}
-        for context in sorted(contexts, key=len)[1:]:
-            counts, parent = contexts[context], smooth.get(context[1:])
-            if parent is None:
-                continue
-            total, hit = counts.sum(), np.flatnonzero(counts)
-            smooth[context] = (counts + PRIOR * parent) / (total + PRIOR)
-            gain = float((counts[hit] * np.log2(counts[hit] / total / parent[hit])).sum())
-            if gain >= LEAST_BITS * len(hit):
-                kept.add(context)
-        within = lambda c: {c[a:b] for a in range(len(c)) for b in range(a + 1, len(c) + 1)}
-        kept = {b""}.union(*(w for c in kept if (w := within(c)) <= smooth.keys()))
-        states = sorted(kept, key=lambda c: (len(c), c))
-        number = {c: k for k, c in enumerate(states)}
-        self.states = states
-        self.logs = np.log10(np.array([smooth[c] for c in states])).astype(np.float32)
-        self.moves = np.zeros((len(states), width), np.int32)
-        for k, c in enumerate(states):
-            if k:
-                self.moves[k] = self.moves[number[c[1:]]]
-            for j, s in enumerate(seen.tolist()):
-                if (to := number.get(c + bytes([s]))) is not None:
-                    self.moves[k, j] = to
-        start = 0
-        if _END[0] in seen:
-            for _ in range(DEPTH):
-                start = int(self.moves[start, self.classes[10]])
-            self.moves[:, self.classes[10]] = start
-        self.start, self.unseen = start, unseen
-
-    def score(self, texts: list[list[bytes]]) -> np.ndarray:
-        """log10 probability of each text's symbols. Long streams are scored in lanes that first read the DEPTH symbols before them."""
-        joined = [b" ".join(t) + _END for t in texts]
-        sizes = np.fromiter(map(len, joined), np.int64, len(joined))
-        lead = _END * DEPTH
-        stream = self.classes[np.frombuffer(lead + b"".join(joined), np.uint8)]
-        n = int(sizes.sum())
-        lanes = -(-n // _LANE)
-        stream = np.concatenate([stream, np.full(lanes * _LANE - n, self.classes[10], np.int32)])
-        view = np.lib.stride_tricks.sliding_window_view(stream, _LANE + DEPTH)[:: _LANE].T if n else stream[:0].reshape(_LANE + DEPTH, 0)
-        state, width = np.zeros(lanes, np.int32), self.logs.shape[1]
-        # the first lane reads line feeds, which lead to the start wherever it stands
-        state[:1] = self.start
-        logs, moves = self.logs.ravel(), self.moves.ravel()
-        got = np.zeros((_LANE, lanes), np.float32)
-        for k in range(_LANE + DEPTH):
-            at = state * width + view[k]
-            if k >= DEPTH:
-                got[k - DEPTH] = logs[at]
-            state = moves[at]
-        flat = got.T.ravel()[:n].astype(np.float64)
-        return np.add.reduceat(flat, np.cumsum(sizes) - sizes) if len(joined) else np.zeros(0)
+        yield rows(*merged(held))
+
+
+def train(df: DataFrame, scratch: Scratch, trained: str = "trained", text: str = "text") -> DataFrame:
+    """(gram, log): log10 of the probability of the gram's symbol after its bytes, for every gram of these rows, trained on those marked."""
+    counted = bounded(df).select(F.col(trained).alias("trained"), F.col(text).alias("text")).mapInArrow(_gram_counts, "gram long, n long")
+    grams = scratch.keep(counted.groupBy("gram").agg(F.sum("n").alias("n")), "grams")
+    return scored(grams, scratch)
+
+
+def scored(grams: DataFrame, scratch: Scratch) -> DataFrame:
+    """(gram, log) from (gram, n)."""
+    low = lambda n: F.col("gram").bitwiseAND((1 << 8 * n) - 1)  # noqa: E731  the last n bytes: a symbol and the n - 1 before it
+    before = lambda n: F.shiftright(low(n + 1), 8)  # noqa: E731  the last n bytes before the symbol
+    n = F.col("n")
+
+    def level(df, depth, keys, parent):
+        """Adds p{depth}, smoothed with column ``parent``, and best: that of the longest retained context so far."""
+        symbol = W.partitionBy(*keys, "symbol")
+        df = df.withColumn("of", F.sum("n").over(symbol)).withColumn("rows", F.count(F.when(n > 0, 1)).over(symbol))
+        whole = W.partitionBy(*keys)
+        df = df.withColumn("all", F.sum("n").over(whole))
+        # each row has its part of its symbol's count, so sums over rows are sums over distinct symbols
+        gain = F.sum(F.when(n > 0, n * F.log2(F.col("of") / F.col("all") / F.col(parent)))).over(whole)
+        kinds = F.round(F.sum(F.when(n > 0, 1 / F.col("rows"))).over(whole))
+        df = df.withColumn("gain", gain).withColumn("kinds", kinds)
+        df = df.withColumn(f"p{depth}", (F.col("of") + PRIOR * F.col(parent)) / (F.col("all") + PRIOR))
+        retained = F.coalesce(F.col("gain") >= LEAST_BITS * F.col("kinds"), F.lit(False))
+        return df.withColumn("best", F.when(retained, F.col(f"p{depth}")).otherwise(F.col("best"))).drop("of", "rows", "all", "gain", "kinds")
+
+    # contexts of up to two bytes: 2**24 rows at most, in one partitioning by the last byte before the symbol
+    short = scratch.keep(grams.groupBy(low(3).alias("gram")).agg(F.sum("n").alias("n")), "short")
+    root = short.groupBy(low(1).alias("symbol")).agg(F.sum("n").alias("c"))
+    total = F.coalesce(F.sum("c").over(W.partitionBy()), F.lit(0))
+    root = root.select("symbol", ((F.col("c") + 0.5) / (total + 128)).alias("p0"))
+    short = short.withColumn("symbol", low(1)).join(F.broadcast(root), "symbol").withColumn("best", F.col("p0"))
+    short = short.withColumn("c1", before(1)).repartition("c1")
+    short = level(level(short, 1, ["c1"], "p0").withColumn("c2", before(2)), 2, ["c1", "c2"], "p1")
+    short = scratch.keep(short.select(F.col("gram").alias("last"), "p2", "best"), "short-scores")
+    # longer ones, in one partitioning by the last three bytes
+    long = grams.withColumn("last", low(3)).join(short, "last").withColumn("symbol", low(1)).withColumn("c3", before(3)).repartition("c3")
+    long = level(long, 3, ["c3"], "p2").withColumn("c4", before(4))
+    long = level(long, 4, ["c3", "c4"], "p3").withColumn("c5", before(5))
+    long = level(long, 5, ["c3", "c5"], "p4")
+    return scratch.keep(long.select("gram", F.log10("best").cast("float").alias("log")), "scores")
 
 
 # ---- scoring --------------------------------------------------------------------------------------------------------
 
 
+def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return ((keys >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
+
+
 class _Unit:
-    """Distinct tokens of a unit by bucket, their training counts, and where each token stands."""
+    """Distinct tokens and grams of a unit, sorted, and their buckets."""
 
     def __init__(self, batch: pa.RecordBatch, buckets: int):
-        self.texts = [tokens_of(t) for t in batch.column(2).to_pylist()]
-        words = Words([b" ".join(t) for t in self.texts])
+        self.texts = [b" ".join(tokens_of(t)) for t in batch.column(2).to_pylist()]
+        words = Words(self.texts)
         self.counts = words.counts
-        tokens = np.insert(words.hashes(), words.offsets[1:], _END_HASH)
-        trained = np.repeat(~np.asarray(batch.column(1)), words.counts + 1)
-        bucket = ((tokens >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((tokens, bucket))
-        tokens, bucket = tokens[order], bucket[order]
-        new = np.append(True, tokens[1:] != tokens[:-1]) if len(tokens) else np.zeros(0, bool)
-        group = np.cumsum(new) - 1
-        self.inverse = np.empty(len(tokens), np.int32)
-        self.inverse[order] = group
-        self.tokens = tokens[new]
-        self.trained = np.bincount(group, trained[order], len(self.tokens)).astype(np.uint32)
-        self.bounds = np.searchsorted(bucket[new], np.arange(buckets + 1))
-
-
-def _totals(blocks: list) -> list[bytes]:
-    """For each block: tokens and distinct tokens of training in this bucket, then the training count of each token asked about."""
-    sizes = [len(b) // 12 for b in blocks]
-    tokens = np.concatenate([np.frombuffer(b, np.uint64, n) for b, n in zip(blocks, sizes, strict=True)])
-    counts = np.concatenate([np.frombuffer(b, np.uint32, n, 8 * n) for b, n in zip(blocks, sizes, strict=True)]).astype(np.int64)
+        self.all = np.insert(words.hashes(), words.offsets[1:], _END_HASH)
+        self.tokens = np.unique(self.all)
+        self.grams = distinct_grams(self.texts)[0]
+        at = _bucket(self.tokens, buckets)
+        self.by_token = np.argsort(at, kind="stable")
+        self.token_bounds = np.searchsorted(at[self.by_token], np.arange(buckets + 1))
+        at = _bucket(mix(self.grams), buckets)
+        self.by_gram = np.argsort(at, kind="stable")
+        self.gram_bounds = np.searchsorted(at[self.by_gram], np.arange(buckets + 1))
+
+    def trained(self, marks: np.ndarray) -> np.ndarray:
+        """How often each distinct token stands in rows with the mark."""
+        kinds, n = np.unique(self.all[np.repeat(marks, self.counts + 1)], return_counts=True)
+        out = np.zeros(len(self.tokens), np.uint32)
+        out[np.searchsorted(self.tokens, kinds)] = n
+        return out
+
+    def sums(self, logs: np.ndarray) -> np.ndarray:
+        """For each text the sum of its grams' scores."""
+        runs, starts = grams_of(self.texts)
+        out, at = np.zeros(len(starts)), 0
+        for grams in runs:
+            codes, kinds = pd.factorize(grams)
+            found = logs[np.searchsorted(self.grams, kinds)].astype(np.float64)[codes]
+            first = int(np.searchsorted(starts, at, "right")) - 1
+            last = int(np.searchsorted(starts, at + len(grams), "left"))
+            out[first:last] += np.add.reduceat(found, np.maximum(starts[first:last] - at, 0))
+            at += len(grams)
+        return out
+
+    def parts(self):
+        """(bucket, its tokens' places, its grams' places) for the buckets that have any."""
+        some = (np.diff(self.token_bounds) > 0) | (np.diff(self.gram_bounds) > 0)
+        for k in np.flatnonzero(some).tolist():
+            yield k, self.by_token[self.token_bounds[k] : self.token_bounds[k + 1]], self.by_gram[self.gram_bounds[k] : self.gram_bounds[k + 1]]
+
+
+def _block(tokens: np.ndarray, trained: np.ndarray, grams: np.ndarray) -> bytes:
+    """Number of tokens, tokens, their training counts, grams of six bytes."""
+    return np.uint64(len(tokens)).tobytes() + tokens.tobytes() + trained.tobytes() + _six(grams)
+
+
+def _six(grams: np.ndarray) -> bytes:
+    return np.ascontiguousarray(grams).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _tokens_in(block) -> tuple[np.ndarray, np.ndarray]:
+    n = int(np.frombuffer(block, np.uint64, 1)[0])
+    return np.frombuffer(block, np.uint64, n, 8), np.frombuffer(block, np.uint32, n, 8 + 8 * n)
+
+
+def _grams_in(block, at: int) -> np.ndarray:
+    packed = np.frombuffer(block, np.uint8, len(block) - at, at).reshape(-1, 6)
+    out = np.zeros((len(packed), 8), np.uint8)
+    out[:, :6] = packed
+    return out.view(np.uint64).ravel()
+
+
+def _token_sums(blocks: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Training counts of distinct tokens, and where each asked token stands among them."""
+    parts = [_tokens_in(b) for b in blocks]
+    tokens = np.concatenate([t for t, _ in parts])
+    counts = np.concatenate([c for _, c in parts]).astype(np.int64)
     order = np.argsort(tokens, kind="stable")
     ordered = tokens[order]
     group = np.cumsum(np.append(True, ordered[1:] != ordered[:-1])) - 1 if len(order) else np.zeros(0, np.int64)
     sums = np.bincount(group, counts[order]).astype(np.int64) if len(order) else np.zeros(0, np.int64)
     back = np.empty(len(order), np.int64)
-    back[order] = sums[group]
-    head = np.array([sums.sum(), (sums > 0).sum()], np.int64)
-    kind = np.uint32 if head[0] < 1 << 32 else np.uint64
-    return [head.tobytes() + x.astype(kind).tobytes() for x in np.split(back, np.cumsum(sizes)[:-1])]
-
-
-def score(df: DataFrame, id_column: str = "doc_id", text: str = "text", buckets: int | None = None) -> DataFrame:
+    back[order] = group
+    return sums, back, np.array([len(t) for t, _ in parts])
+
+
+def _totals(blocks: list) -> tuple[int, int]:
+    """Tokens and distinct tokens of training in this bucket."""
+    sums = _token_sums(blocks)[0]
+    return int(sums.sum()), int((sums > 0).sum())
+
+
+def _answers(blocks: list, scores: list) -> list[bytes]:
+    """For each block the training count of each token, 8 bytes each, and the score of each gram, 4 bytes each."""
+    sums, back, sizes = _token_sums(blocks)
+    counts = np.split(sums[back], np.cumsum(sizes)[:-1])
+    parts = [(np.frombuffer(b, np.uint64, 1), b) for b in scores]
+    known = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(b, np.uint64, int(n[0]), 8) for n, b in parts)])
+    logs = np.concatenate([np.zeros(0, np.float32), *(np.frombuffer(b, np.float32, int(n[0]), 8 + 8 * int(n[0])) for n, b in parts)])
+    order = np.argsort(known)
+    known, logs = known[order], logs[order]
+    out = []
+    for block, size, own in zip(blocks, sizes, counts, strict=True):
+        grams = _grams_in(block, 8 + 12 * size)
+        at = np.searchsorted(known, grams)
+        if len(grams) and (not len(known) or at[-1] >= len(known) or (known[at] != grams).any()):
+            raise ValueError("a gram has no score: the rows differ when read again")
+        out.append(own.tobytes() + logs[at].tobytes())
+    return out
+
+
+def _by_bucket(scores: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, block): number of grams, grams, scores."""
+
+    def run(batches):
+        for batch in batches:
+            grams, logs = np.asarray(batch.column(0)).astype(np.uint64), np.asarray(batch.column(1))
+            at = _bucket(mix(grams), buckets)
+            order = np.argsort(at, kind="stable")
+            grams, logs, at = grams[order], logs[order], at[order]
+            cuts = np.flatnonzero(np.append(True, at[1:] != at[:-1])) if len(at) else np.zeros(0, np.int64)
+            blocks = [np.uint64(b - a).tobytes() + grams[a:b].tobytes() + logs[a:b].tobytes() for a, b in zip(cuts, [*cuts[1:], len(at)], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(at[cuts].astype(np.int32)), pa.array(blocks, pa.binary())], ["bucket", "block"])
+
+    return scores.mapInArrow(run, "bucket int, block binary")
+
+
+def score(df: DataFrame, id_column: str = "doc_id", text: str = "text", buckets: int | None = None, unit_bytes: int | None = None) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row."""
-    spark = df.sparkSession
     held = F.coalesce(fold_of(id_column, FOLDS) == 0, F.lit(True))
-    rows = df.select(F.col(id_column), held.alias("held out"), F.col(text))
-    tree = spark.sparkContext.broadcast(train(rows.where(~F.col("held out")), Scratch(spark), text))
+    rows = scanned(df.select(F.col(id_column), (~held).alias("trained"), F.col(text)))
+    n = bucket_count(rows, text, buckets)
+    scores = train(rows, Scratch(df.sparkSession), "trained", text)
 
     def keys(batch, n):
         unit = _Unit(batch, n)
-        return [unit.tokens[a:b].tobytes() + unit.trained[a:b].tobytes() for a, b in zip(unit.bounds, unit.bounds[1:], strict=False)]
-
-    def payload(batch):
-        unit = _Unit(batch, n)
-        ends = np.cumsum(unit.counts + 1)
-        places = [x.tobytes() for x in np.split(unit.inverse, ends[:-1])]
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(tree.value.score(unit.texts)), pa.array(places, pa.binary())], [id_column, "held_out", "score", "places"])
+        trained = unit.trained(np.asarray(batch.column(1)))
+        return {k: _block(unit.tokens[t], trained[t], unit.grams[g]) for k, t, g in unit.parts()}
 
     def finish(batch, answers):
-        heads = [np.frombuffer(a, np.int64, 2) for a in answers]
-        total, distinct = (int(x) for x in np.sum(heads, 0))
-        asked = np.concatenate([np.frombuffer(batch.column(3)[k].as_buffer(), np.int32) for k in range(batch.num_rows)])
-        sizes = np.array([len(x.as_buffer()) // 4 for x in batch.column(3)])
-        counts = np.concatenate([_counts(a) for a in answers])
-        if len(asked) and int(asked.max()) + 1 != len(counts):
-            raise ValueError("a unit met answers for other tokens: its rows came in another order when read again")
-        logs = np.log10((counts + _ADD) / (total + _ADD * (distinct + 1)))[asked]
+        unit = _Unit(batch, n)
+        counts, logs = np.zeros(len(unit.tokens), np.int64), np.zeros(len(unit.grams), np.float32)
+        seen = 0
+        for k, t, g in unit.parts():
+            if k not in answers or len(answers[k]) != 8 * len(t) + 4 * len(g):
+                raise ValueError("a unit met answers for other keys: its rows came in another order when read again")
+            counts[t] = np.frombuffer(answers[k], np.int64, len(t))
+            logs[g] = np.frombuffer(answers[k], np.float32, len(g), 8 * len(t))
+            seen += 1
+        if seen != len(answers):
+            raise ValueError("a unit met answers that it didn't ask for: its rows came in another order when read again")
+        sizes = unit.counts + 1
         at = np.cumsum(sizes) - sizes
-        base = np.add.reduceat(logs, at)
-        known = np.add.reduceat((counts > 0)[asked].astype(np.int64), at)
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes), pa.array(known), pa.array(np.full(len(sizes), total)), pa.array(base), batch.column(2)], [id_column, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
-    n = bucket_count(rows, buckets)
-    schema = f"{id_column} {df.schema[id_column].dataType.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return ask(rows, [id_column, "held out", text], keys, _totals, finish, schema, payload=payload, text=text, buckets=n)
-
-
-def _counts(answer) -> np.ndarray:
-    """Counts of an answer; 8 bytes each only where a count needs them, as the head tells."""
-    body = len(answer) - 16
-    wide = np.frombuffer(answer, np.int64, 1)[0] >= 1 << 32
-    return np.frombuffer(answer, np.uint64 if wide else np.uint32, body // (8 if wide else 4), 16).astype(np.int64)
+        found = counts[np.searchsorted(unit.tokens, unit.all)]
+        part = np.add.reduceat(np.log10(found + _ADD), at)
+        known = np.add.reduceat((found > 0).astype(np.int64), at)
+        got = unit.sums(logs)
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(~np.asarray(batch.column(1))), pa.array(sizes), pa.array(known), pa.array(part), pa.array(got)], [id_column, "held_out", "n_tokens", "n_known", "part", "score"])
+
+    schema = f"{id_column} {df.schema[id_column].dataType.simpleString()}, held_out boolean, n_tokens long, n_known long, part double, score double"
+    done, heads = ask(rows, keys, _answers, finish, schema, n, text=text, unit_bytes=unit_bytes, side=_by_bucket(scores, n), heads=_totals)
+    # one row: all tokens of training and the distinct ones
+    totals = heads.agg(F.struct(F.coalesce(F.sum("a"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("b"), F.lit(0)).alias("kinds")).alias("of")).scalar()
+    done = done.withColumn("of", totals)
+    base = F.col("part") - F.col("n_tokens") * F.log10(F.col("of.tokens") + _ADD * (F.col("of.kinds") + 1))
+    return done.select(id_column, "held_out", "n_tokens", "n_known", F.col("of.tokens").alias("train_tokens"), base.alias("base_score"), "score")

@@ -1,16 +1,20 @@
 """Each operator against a brute-force version, an exact round trip, or held-out accuracy; the awkward cases are in the corpus."""
 
+import functools
 import hashlib
 import io
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
-from plazaflow.llm import components, decontaminate, language, media, pieces, secrets, simhash, substring_dedup, suffix_tree, token_counts, urls
+from plazaflow.llm import _common, components, decontaminate, language, media, pieces, secrets, simhash, substring_dedup, suffix_tree, token_counts, urls
 from plazaflow.llm.scratch import Scratch
 
 from . import corpus
@@ -254,7 +258,9 @@ def test_buckets_follow_the_size_of_the_input(spark, tmp_path, monkeypatch, docs
     docs.write.parquet(f"{tmp_path}/docs")
     read = spark.read.parquet(f"{tmp_path}/docs")
     least = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert exchange.bucket_count(read) == least and exchange.bucket_count(read, 3) == 3
+    assert exchange.bucket_count(read) == least and exchange.bucket_count(read, buckets=3) == 3
+    # what a join would make the planner guess doesn't count
+    assert exchange.bucket_count(read.join(read.select("doc_id").distinct(), "doc_id")) == least
     monkeypatch.setattr(exchange, "BUCKET_BYTES", 1000)
     assert exchange.bucket_count(read) > least
 
@@ -273,33 +279,127 @@ def test_lm_base_and_tree(spark, docs, rows):
     got = suffix_tree.score(docs).collect()
     assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in got) == expect
     assert all(r.score < 0 for r in got)
-    tested = [r for r in got if r.held_out and r.n_tokens > 5]
-    # held-out texts are likelier than under the bytes' frequencies alone
-    tree = suffix_tree.train(docs, Scratch(spark))
-    alone = {r.doc_id: sum(float(tree.logs[0, tree.classes[b]]) for b in b" ".join(suffix_tree.tokens_of(r.text)) + b"\n") for r in rows}
-    assert len(tested) > 5 and sum(r.score for r in tested) > 0.8 * sum(alone[r.doc_id] for r in tested)
-
-
-def test_lm_tree_scores_by_the_longest_kept_suffix(spark, docs, rows):
-    tree = suffix_tree.train(docs, Scratch(spark))
-    number = {c: k for k, c in enumerate(tree.states)}
-    sums = (10.0 ** tree.logs.astype(float))[:, :-1].sum(1) + tree.unseen * 10.0 ** tree.logs[:, -1].astype(float)
-    assert len(tree.states) > 10 and np.allclose(sums, 1, atol=1e-4)
-    texts = [suffix_tree.tokens_of(r.text) for r in rows]
-    got = tree.score(texts)
-    for t, have in zip(texts[:40] + texts[-8:], [*got[:40], *got[-8:]], strict=True):
-        stream, log = b"\n" * suffix_tree.DEPTH + b" ".join(t) + b"\n", 0.0
-        for i in range(suffix_tree.DEPTH, len(stream)):
-            context = next(c for n in range(suffix_tree.DEPTH, -1, -1) if (c := stream[i - n : i]) in number)
-            log += float(tree.logs[number[context], tree.classes[stream[i]]])
-        assert abs(log - have) < 1e-3 * max(1, abs(log))
-
-
-def test_lm_counts_every_symbol_once(spark, docs, rows):
-    grams = docs.select("text").mapInArrow(suffix_tree._gram_counts, "gram long, n long").groupBy().sum("n").first()[0]
+
+
+def brute_tree(texts, trained):
+    """log10 probability of each text under a tree trained on those marked, by the definitions alone."""
+    depth, ends = suffix_tree.DEPTH, [b" ".join(suffix_tree.tokens_of(t)) + b"\n" for t in texts]
+    counts = [Counter() for _ in range(depth + 1)]
+    for raw, own in zip(ends, trained, strict=True):
+        stream = b"\n" * depth + raw
+        for i in range(depth, len(stream)) if own else ():
+            for d in range(depth + 1):
+                counts[d][stream[i - d : i], stream[i]] += 1
+    totals = [Counter() for _ in counts]
+    for d, of in enumerate(counts):
+        for (context, _), n in of.items():
+            totals[d][context] += n
+
+    @functools.lru_cache(None)
+    def p(context, symbol):
+        d = len(context)
+        if not d:
+            return (counts[0][b"", symbol] + 0.5) / (totals[0][b""] + 128)
+        return (counts[d][context, symbol] + suffix_tree.PRIOR * p(context[1:], symbol)) / (totals[d][context] + suffix_tree.PRIOR)
+
+    gains, kinds = Counter(), Counter()
+    for d in range(1, depth + 1):
+        for (context, symbol), n in counts[d].items():
+            gains[context] += n * np.log2(n / totals[d][context] / p(context[1:], symbol))
+            kinds[context] += 1
+    retained = {c for c in gains if gains[c] >= suffix_tree.LEAST_BITS * kinds[c]} | {b""}
+
+    def score(raw):
+        stream = b"\n" * depth + raw
+        return sum(np.log10(p(next(c for n in range(depth, -1, -1) if (c := stream[i - n : i]) in retained), stream[i])) for i in range(depth, len(stream)))
+
+    return [score(raw) for raw in ends], retained
+
+
+def test_lm_tree_matches_brute_force(docs, rows):
+    trained = [r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 10 != 0 for r in rows]
+    want, retained = brute_tree([r.text for r in rows], trained)
+    assert len(retained) > 100
+    close = lambda x: float(f"{x:.4g}")
+    got = suffix_tree.score(docs, unit_bytes=20_000, buckets=5).collect()
+    assert Counter((r.doc_id, close(r.score)) for r in got) == Counter((r.doc_id, close(w)) for r, w in zip(rows, want, strict=True))
+
+
+def test_lm_grows_with_the_corpus(spark, docs, rows):
+    """Other texts add contexts and grams; nothing is dropped for their number."""
+    texts = [r.text for r in rows]
+    other = [None if t is None else "".join(chr(0x410 + ord(c) % 32) if c.isalpha() else c for c in t) for t in texts]
+    small, large = brute_tree(texts, [True] * len(texts))[1], brute_tree(texts + other, [True] * 2 * len(texts))[1]
+    assert len(large) > 1.2 * len(small)
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate(texts + other)], "doc_id long, text string")
+    scratch = Scratch(spark)
+    grams = {n: suffix_tree.train(frame.where(f"doc_id < {n}").withColumn("trained", F.lit(True)), scratch if n > len(texts) else Scratch(spark)).count() for n in (len(texts), 2 * len(texts))}
+    assert grams[2 * len(texts)] > 1.2 * grams[len(texts)]
+
+
+def test_lm_counts_every_symbol_once(docs, rows):
+    grams = docs.selectExpr("true", "text").mapInArrow(suffix_tree._gram_counts, "gram long, n long").groupBy().sum("n").first()[0]
     assert grams == sum(len(b" ".join(suffix_tree.tokens_of(r.text))) + 1 for r in rows)
 
 
+def test_lm_runs_cut_texts_anywhere(rows, monkeypatch):
+    texts = [b" ".join(suffix_tree.tokens_of(r.text)) for r in rows]
+    whole = np.concatenate(list(suffix_tree.grams_of(texts)[0]))
+    monkeypatch.setattr(suffix_tree, "_RUN", 7)
+    assert (np.concatenate(list(suffix_tree.grams_of(texts[:60])[0])) == whole[: sum(len(t) + 1 for t in texts[:60])]).all()
+
+
+def test_long_words_hash_alike(monkeypatch):
+    texts = [b"a " + b"xyz" * 50 + b" bb", b"", b"xyz" * 50, b"a"]
+    whole = _common.Words(texts).hashes()
+    monkeypatch.setattr(_common, "SLICE_BYTES", 64)
+    assert (_common.Words(texts).hashes() == whole).all() and whole[1] == whole[3] and whole[0] == whole[4]
+
+
+@pytest.mark.parametrize("bucket_bytes, most", [(4000, 1 << 20), (20, 4000)])
+def test_blocks_grow_with_the_input(spark, tmp_path, monkeypatch, bucket_bytes, most):
+    """Rows sent to buckets at two sizes far apart grow in proportion: while units grow with buckets, and where buckets outnumber a unit's keys."""
+    from plazaflow.llm import exchange
+
+    sent = {}
+    monkeypatch.setattr(exchange, "BUCKET_BYTES", bucket_bytes)
+    monkeypatch.setattr(exchange, "LEAST_UNIT_BYTES", 4000)
+    monkeypatch.setattr(exchange, "MOST_UNIT_BYTES", most)
+    monkeypatch.setattr(exchange, "_UNIT_PER_BUCKET", 150)
+    for size in (200, 3200):
+        rng = random.Random(size)
+        rows = [(k, " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(60))) for k in range(size)]
+        spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/{size}")
+        df = spark.read.parquet(f"{tmp_path}/{size}")
+        n = exchange.bucket_count(df)
+        blocks = spark.sparkContext.accumulator(0)
+        real = substring_dedup._Unit
+
+        def keys(batch, n, real=real, blocks=blocks):
+            unit = real(batch, 5, n)
+            found = {k: unit.keys[unit.bounds[k] : unit.bounds[k + 1]].tobytes() for k in np.flatnonzero(np.diff(unit.bounds)).tolist()}
+            blocks.add(len(found))
+            return found
+
+        def finish(batch, answers):
+            return pa.RecordBatch.from_arrays([batch.column(0)], ["doc_id"])
+
+        assert exchange.ask(df, keys, substring_dedup._repeated, finish, "doc_id long", n).count() == size
+        sent[size] = blocks.value, n
+    (a, small), (b, large) = sent[200], sent[3200]
+    assert large > 10 * small and np.log(b / a) / np.log(16) < 1.05
+
+
+def test_units_of_rows_that_are_no_plain_scan(spark, docs):
+    """Shuffled rows with random order are written first."""
+    from plazaflow.llm import exchange
+
+    messy = docs.repartition(3).orderBy(F.rand())
+    assert not exchange._plain(messy._jdf.queryExecution().optimizedPlan())
+    a = substring_dedup.report(substring_dedup.remove_repeats(messy, 5)).collect()
+    assert Counter(a) == Counter(substring_dedup.report(substring_dedup.remove_repeats(docs, 5)).collect())
+
+
 # ---- 8 URL filters
 
 
