@@ -1,13 +1,14 @@
 """Language ID, word first: known words score by their log frequency in each language, unseen words back off to shorter and shorter character n-grams.
 
-The model is fitted on a bounded sample: the ``SAMPLE_ROWS`` labelled training rows with the smallest hashes of their ids, whole texts.
-It keeps the ``TABLE_WORDS`` most frequent words that occur twice or more and the ``TABLE_GRAMS`` most frequent n-grams of each length (both fixed model sizes;
-the table is what is broadcast). Training rows are those whose crc32(id as text) mod 5 is not 0; the label column is read for those only,
-and never at prediction. A row with a null id is held out.
+The model is fitted on a bounded sample: ``SAMPLE_ROWS`` labelled training rows at most, those with the smallest hashes of id, text and
+label (rows that repeat all three count once), whole texts. The bound on the sample is the only one: every word and every n-gram of 1 to
+``LONGEST`` characters in it is kept, and the tables made of them are what is collected and broadcast. Training rows are those whose
+crc32(id as text) mod 5 is not 0; the label column is read for those only, and never at prediction. A row with a null id is held out.
 
 A word is a run of letters of any script, lower-cased. Text that is null or has no letter is ``und`` with score 0; so is every text if no
 row is labelled. Ties go to the language that sorts first. The score is the softmax share of the language, with the sum of log
-frequencies damped by the root of the number of words.
+frequencies damped by the root of the number of words. An empty table gives an empty result; repeated rows are judged alike; a very long
+text is judged whole, word by word.
 """
 
 from __future__ import annotations
@@ -17,15 +18,13 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import bounded, clear_of, ddl, fold_of, map_text, resident, slices
-from .scratch import Scratch
 
 SAMPLE_ROWS = 4000
-TABLE_WORDS = 60_000
-TABLE_GRAMS = 20_000
 LONGEST = 5
 FOLDS = 5
 #: The pipeline rejects a document below this score, or without letters.
@@ -59,10 +58,10 @@ class Model:
                 parts.append(matrix)
                 at += len(known)
         self.matrix = np.concatenate(parts)
-        #: Row numbers in ``vectors``: the known words for good, unseen ones until there are too many.
+        #: Row numbers in ``vectors``: the known words for good, unseen ones (``added``) until there are too many.
         words, first = tables.get(0, ([], parts[0][:0]))
-        self.known = dict(zip(words, range(len(words)), strict=True))
-        self.cache, self.vectors = dict(self.known), first
+        self.known = len(words)
+        self.cache, self.vectors, self.added = dict(zip(words, range(len(words)), strict=True)), first, []
 
     def backed_off(self, word: str) -> list[int]:
         """Of a word that isn't known: the rows of its n-grams of the longest length that has any; row 0, of zeros, if none has."""
@@ -77,12 +76,15 @@ class Model:
     def rows_of(self, words: list[list[str]]) -> list[np.ndarray]:
         """Row numbers in ``vectors`` of each text's words."""
         new = set().union(*words).difference(self.cache)
-        if len(self.cache) + len(new) > len(self.known) + _CACHE:
-            self.cache, self.vectors = dict(self.known), self.vectors[: len(self.known)]
+        if len(self.added) + len(new) > _CACHE:
+            for w in self.added:
+                del self.cache[w]
+            self.vectors, self.added = self.vectors[: self.known], []
             new = set().union(*words).difference(self.cache)
         if new:
             at = len(self.vectors)
             self.cache.update(zip(new, range(at, at + len(new)), strict=True))
+            self.added += new
             found = [self.backed_off(w) for w in new]
             sizes = np.fromiter(map(len, found), np.int64, len(found))
             more = np.add.reduceat(self.matrix[np.concatenate(found)], np.cumsum(sizes) - sizes, 0) / sizes[:, None]
@@ -105,13 +107,13 @@ class Model:
 
 
 def fit(df: DataFrame, id_column: str = "doc_id", text: str = "text", label: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Counts words and n-grams of the sample in Spark; what is collected is bounded by the table sizes."""
-    order = F.xxhash64(F.col(id_column))
+    """Counts words and n-grams of the sample in Spark; what is collected are these counts."""
     labelled = df.where(F.col(label).isNotNull() & F.col(text).isNotNull() & (fold_of(id_column, FOLDS) != 0))
-    least = labelled.select(order.alias("h")).orderBy("h").limit(sample_rows).agg(F.max("h")).first()[0]
+    labelled = labelled.select(F.xxhash64(id_column, text, label).alias("order"), F.col(label).cast("string").alias("lang"), F.col(text).alias("text"))
+    least = labelled.select("order").distinct().orderBy("order").limit(sample_rows).agg(F.max("order")).first()[0]
     if least is None:
         return Model([], {})
-    sample = labelled.where(order <= least).select(label, text)
+    sample = labelled.where(F.col("order") <= least).groupBy("order").agg(F.first("lang").alias("lang"), F.first("text").alias("text")).select("lang", "text")
 
     def count(batches):
         for part in slices(batches):
@@ -130,17 +132,15 @@ def fit(df: DataFrame, id_column: str = "doc_id", text: str = "text", label: str
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows, strict=True)], ["lang", "n", "gram", "c"])
 
-    counts = bounded(sample).select(F.col(label).alias("lang"), F.col(text).alias("text")).mapInArrow(count, "lang string, n long, gram string, c long").groupBy("lang", "n", "gram").agg(F.sum("c").alias("c"))
-    counts = Scratch(df.sparkSession).keep(counts, "counts")
-    grams = counts.groupBy("n", "gram").agg(F.sum("c").alias("all"), F.map_from_entries(F.collect_list(F.struct("lang", "c"))).alias("by"))
-    totals = {(r[0], r[1]): r[2] for r in counts.groupBy("lang", "n").agg(F.sum("c")).collect()}
-    langs = sorted({k[0] for k in totals})
+    counts = bounded(sample).mapInArrow(count, "lang string, n long, gram string, c long").groupBy("lang", "n", "gram").agg(F.sum("c").alias("c")).toArrow()
+    langs = sorted(set(counts["lang"].to_pylist()))
     tables: dict[int, tuple[list[str], np.ndarray]] = {}
     for n in range(LONGEST + 1):
-        top = grams.where((F.col("n") == n) & ((F.col("all") > 1) | (F.col("n") > 0))).orderBy(F.desc("all"), "gram").limit(TABLE_GRAMS if n else TABLE_WORDS).collect()
-        sums = np.array([totals.get((lang, n), 0) for lang in langs]) + _SMOOTH * (len(top) + 1)
-        seen = np.array([[r["by"].get(lang, 0) for lang in langs] for r in top]).reshape(len(top), len(langs))
-        tables[n] = [r["gram"] for r in top], np.log((seen + _SMOOTH) / sums).astype(np.float32)
+        own = counts.filter(pc.equal(counts["n"], n))
+        grams = own["gram"].combine_chunks().dictionary_encode()
+        seen = np.zeros((len(grams.dictionary), len(langs)))
+        seen[np.asarray(grams.indices), np.array([langs.index(x) for x in own["lang"].to_pylist()], np.int64)] = np.asarray(own["c"])
+        tables[n] = grams.dictionary.to_pylist(), np.log((seen + _SMOOTH) / (seen.sum(0) + _SMOOTH * (len(seen) + 1))).astype(np.float32)
     return Model(langs, tables)
 
 

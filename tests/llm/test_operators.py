@@ -3,6 +3,7 @@
 import functools
 import hashlib
 import io
+import os
 import random
 import re
 import zlib
@@ -163,6 +164,41 @@ def test_language_ignores_labels_of_held_out_rows(docs):
     assert sorted(language.report(docs).collect(), key=key) == sorted(language.report(other).collect(), key=key)
 
 
+def test_language_fit_matches_brute_force(docs, rows):
+    """Every word and n-gram of the training rows, each (id, text, label) once."""
+    counts = Counter()
+    for d, t, lang in {(r.doc_id, r.text, r.lang) for r in rows if r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 5 and r.text is not None and r.lang is not None}:
+        for w in re.findall(r"[^\W\d_]+", t.lower()):
+            counts[0, w, lang] += 1
+            for n in range(1, language.LONGEST + 1):
+                for k in range(len(w) + 3 - n):
+                    counts[n, f"^{w}$"[k : k + n], lang] += 1
+    model = language.fit(docs)
+    assert model.langs == sorted({k[2] for k in counts})
+    for n, (grams, logs) in model.source.items():
+        assert set(grams) == {k[1] for k in counts if k[0] == n} and len(grams) == len(set(grams))
+        for j, lang in enumerate(model.langs):
+            total = sum(c for k, c in counts.items() if k[0] == n and k[2] == lang) + 0.5 * (len(grams) + 1)
+            assert np.allclose(logs[:, j], [np.log((counts[n, g, lang] + 0.5) / total) for g in grams], atol=1e-4)
+
+
+def test_language_sample_is_bounded(docs, rows):
+    """Many rows of one id don't enlarge the sample."""
+    hot = docs.where("doc_id = 6").crossJoin(docs.sparkSession.range(50)).withColumn("text", F.concat("text", F.lit(" w"), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij"))).drop("id")
+    model = language.fit(docs.union(hot).union(hot), sample_rows=5)
+    assert 0 < len(model.source[0][0]) <= 5 * 200
+    one = language.fit(docs, sample_rows=1)
+    assert len(one.langs) == 1
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.01"), reason="the generated tables are not here")
+def test_language_held_out_accuracy_on_generated_documents(spark):
+    got = language.report(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    truth = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
+    tested = got.where("held_out").join(truth.where("lang IS NOT NULL"), "doc_id").collect()
+    assert len(tested) > 150 and sum(r.lang == r.lang_pred for r in tested) >= 0.99 * len(tested)
+
+
 def test_language_backs_off_to_grams():
     v = lambda *x: np.log(np.array([x], np.float32))
     model = language.Model(["a", "b"], {0: (["known"], v(0.9, 0.1)), 3: (["^kn"], v(0.2, 0.8)), 1: (["z"], v(0.7, 0.3))})
