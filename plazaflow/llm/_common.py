@@ -115,18 +115,29 @@ def map_text(df: DataFrame, columns: list[str], make: Callable[[], Callable[[dic
 
     def run(batches):
         work = make()
-        for part in slices(batches, text):
+        for part in slices(batches, f"c{columns.index(text)}"):
             own = dict(zip(columns, part.columns, strict=True))
             with uncollected():
                 got = work({name: c.to_pylist() for name, c in own.items() if name not in through or name == text})
             yield pa.RecordBatch.from_arrays([own[f.name].cast(f.type) if f.name in through else pa.array(got[f.name], f.type) for f in target], schema=target)
 
-    return bounded(df).select(*(F.col(quoted(c)) for c in columns)).mapInArrow(run, schema)
+    return plainly(bounded(df), columns).mapInArrow(run, schema)
+
+
+def plainly(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns as c0, c1 and so on: mapInArrow takes no dots or quotes in names."""
+    return df.select(*(F.col(quoted(c)).alias(f"c{k}") for k, c in enumerate(columns)))
 
 
 def clear_of(df: DataFrame, names: list[str]) -> tuple[DataFrame, dict[str, str]]:
     """The rows with columns of these names out of the way, and how to name them back."""
-    clash = {f"own {c}": c for c in df.columns if c.lower() in names}
+    taken, clash = {c.lower() for c in df.columns}, {}
+    for c in [c for c in df.columns if c.lower() in names]:
+        own = f"own {c}"
+        while own.lower() in taken:
+            own = f"own {own}"
+        taken.add(own.lower())
+        clash[own] = c
     return df.withColumnsRenamed({v: k for k, v in clash.items()}), clash
 
 

@@ -4,15 +4,19 @@ Words: A-Z lower-cased, then ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``. A window
 fewer words, but not none, is one window. The automaton gives at each word the longest run ending there that occurs in an item; a run
 of ``width`` or more is a window, and a shorter item is found where it is a suffix of the run. Words inside a window are hit.
 
-Null text has no words, an empty benchmark hits nothing. Items with equal words are found together. Items with a null id hit like any
-other and count as one item together; only items_sha256 leaves them out. The items are test sets: they are read in blocks of at most ``block_words`` words, each with an automaton of its own that is broadcast, and their hits are united, so no
-broadcast grows with the table; one block is the usual case.
+Null text has no words, an empty benchmark hits nothing, an empty table of documents gives an empty result. Items with equal words are
+found together. Items with a null id hit like any other and count as one item together; only items_sha256 leaves them out. Repeated rows
+give repeated results; a very long text is scanned whole, in some 60 bytes a word; columns may have any names.
+
+The items are test sets, a stated query set: the driver reads them one after the other and sends them in blocks of at most
+``block_words`` words, each with an automaton of its own; it holds one block at a time. Hits of blocks are united. One block is the usual case.
 """
 
 from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -142,23 +146,23 @@ class Automaton:
         return [tuple(x) for x in spans], items
 
 
-def _blocks(benchmark: DataFrame, width: int, block_words: int, item: str, text: str) -> list[list[tuple[str | None, list[bytes]]]]:
-    """Items in blocks of at most ``block_words`` words (an item alone may have more), read one after the other."""
-    blocks, size = [[]], 0
+def _blocks(benchmark: DataFrame, block_words: int, item: str, text: str) -> Iterator[list[tuple[str | None, list[bytes]]]]:
+    """Items in blocks of at most ``block_words`` words (an item alone may have more)."""
+    block, size = [], 0
     for row in benchmark.select(F.col(item).cast("string"), text).toLocalIterator():
         words = words_of(row[1])
         if not words:
             continue
         if size and size + len(words) > block_words:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((row[0], words))
+            yield block
+            block, size = [], 0
+        block.append((row[0], words))
         size += len(words)
-    return blocks
+    yield block
 
 
-def _shared(df: DataFrame, benchmark: DataFrame, width: int, block_words: int, item: str, text: str) -> list:
-    return [df.sparkSession.sparkContext.broadcast(b) for b in _blocks(benchmark, width, block_words, item, text)]
+def _shared(df: DataFrame, benchmark: DataFrame, block_words: int, item: str, text: str) -> list:
+    return [df.sparkSession.sparkContext.broadcast(b) for b in _blocks(benchmark, block_words, item, text)]
 
 
 def _scanner(blocks: list, width: int):
@@ -183,7 +187,7 @@ def overlaps(df: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_word
 
     Each block of items has its own broadcast automaton; every row meets them one after the other in the same pass.
     """
-    blocks = _shared(df, benchmark, width, block_words, item, text)
+    blocks = _shared(df, benchmark, block_words, item, text)
 
     def make():
         scan = _scanner(blocks, width)
@@ -232,7 +236,7 @@ def cut(text: str, hits: list) -> str:
 
 def decontaminate(df: DataFrame, benchmark: DataFrame, width: int = WIDTH, max_coverage: float = MAX_COVERAGE, item: str = "item_id", text: str = "text", size: str = "n_chars") -> DataFrame:
     """The rows without benchmark passages: a row over ``max_coverage`` goes, hit spans are cut out of others; untouched rows stay as they are. One pass."""
-    blocks = _shared(df, benchmark, width, BLOCK_WORDS, item, text)
+    blocks = _shared(df, benchmark, BLOCK_WORDS, item, text)
 
     def make():
         scan = _scanner(blocks, width)
@@ -246,12 +250,13 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, width: int = WIDTH, max_c
                     rows[text][k] = cut(rows[text][k], h)
                     if size in rows:
                         rows[size][k] = len(rows[text][k])
-            return rows | {"own kept": kept}
+            return rows | {mark: kept}
 
         return work
 
+    mark = "own kept" + " again" * sum(c.lower().startswith("own kept") for c in df.columns)
     through = [c for c in df.columns if c not in (text, size)]
-    return map_text(df, df.columns, make, ddl(df) + ", `own kept` boolean", text, through).where("`own kept`").drop("own kept")
+    return map_text(df, df.columns, make, f"{ddl(df)}, `{mark}` boolean", text, through).where(f"`{mark}`").drop(mark)
 
 
 #: DuckDB: windows compared as the words themselves.

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import bounded, clear_of, ddl, fold_of, map_text, resident, slices
+from ._common import bounded, clear_of, ddl, fold_of, map_text, quoted, resident, slices
 
 SAMPLE_ROWS = 4000
 LONGEST = 5
@@ -165,7 +165,7 @@ def identify(df: DataFrame, model: Model, text: str = "text", keep: list[str] |
 
         return work
 
-    return map_text(df, columns, make, ddl(df.select(*keep)) + ", lang_pred string, score double", text, keep)
+    return map_text(df, columns, make, ddl(df.select(*map(quoted, keep))) + ", lang_pred string, score double", text, keep)
 
 
 def report(df: DataFrame, id_column: str = "doc_id") -> DataFrame:

@@ -6,7 +6,9 @@ stored image *is* the payload. Every block row is a restart interval; rows are d
 A payload of over 192 * 8191 bytes takes several images, one behind the other.
 
 The reader takes any baseline (SOF0) Huffman JPEG of one interleaved scan, grey or with chroma, with or without restart intervals.
-Null text counts as empty; the empty text is one row of spaces. Equal texts give equal bytes. Bytes that are no such JPEG raise ValueError.
+Null text counts as empty; the empty text is one row of spaces. Equal texts give equal bytes, and repeated rows equal results. An empty table
+gives an empty result. Bytes that are no such JPEG raise ValueError. Images are written and read in groups of about ``_GROUP`` bytes, so a very
+long text needs a few copies of itself beside what one group takes. Own columns named like the features stay, ahead of them, as ``own`` and the name.
 """
 
 from __future__ import annotations
@@ -20,10 +22,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ._common import bounded, slices
+from ._common import bounded, clear_of, ddl, plainly, quoted, slices
 
 WIDTH = 192
 _MOST_ROWS = 65535 // 8
+#: Payload or scan bytes that are handled at once; an image may be larger and is then handled alone.
+_GROUP = 1 << 20
 _PAD = b" "
 
 # Fixed values of the format: (code lengths 1..16, symbols). DC: sizes 1-7 in three bits, 0 in four, 8 in five. AC: end of block only.
@@ -108,24 +112,30 @@ def _scans(payload: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return final, begin
 
 
+def _grouped(sizes: list[int]) -> list[tuple[int, int]]:
+    """Runs of values of about ``_GROUP`` bytes together, one value at least: where they begin and end."""
+    out, a, total = [], 0, 0
+    for k, n in enumerate(sizes):
+        if total and total + n > _GROUP:
+            out.append((a, k))
+            a, total = k, 0
+        total += n
+    return [*out, (a, len(sizes))] if sizes else out
+
+
 def store(payloads: list[bytes]) -> list[bytes]:
     """JPEG bytes for each payload of a positive multiple of 192 bytes."""
-    images, rows, owner = [], [], []
-    for k, p in enumerate(payloads):
-        n = len(p) // WIDTH
-        for a in range(0, n, _MOST_ROWS):
-            images.append(min(n, a + _MOST_ROWS) - a)
-            owner.append(k)
-    if not images:
-        return []
-    rows = np.array(images)
-    first = np.arange(rows.sum()) - np.repeat(np.cumsum(rows) - rows, rows)
-    scan, begin = _scans(np.frombuffer(b"".join(payloads), np.uint8), first)
-    edges = [*begin[np.cumsum(rows) - rows].tolist(), len(scan)]
+    images = [(k, a, min(len(p), a + WIDTH * _MOST_ROWS)) for k, p in enumerate(payloads) for a in range(0, len(p), WIDTH * _MOST_ROWS)]
     out = [[] for _ in payloads]
-    data = scan.tobytes()
-    for n, k, a, b in zip(images, owner, edges, edges[1:], strict=False):
-        out[k] += [_head(n), data[a:b], b"\xff\xd9"]
+    for first, last in _grouped([b - a for _, a, b in images]):
+        part = images[first:last]
+        rows = np.array([(b - a) // WIDTH for _, a, b in part])
+        place = np.arange(rows.sum()) - np.repeat(np.cumsum(rows) - rows, rows)
+        scan, begin = _scans(np.frombuffer(b"".join(payloads[k][a:b] for k, a, b in part), np.uint8), place)
+        edges = [*begin[np.cumsum(rows) - rows].tolist(), len(scan)]
+        data = scan.tobytes()
+        for (k, _, _), n, a, b in zip(part, rows.tolist(), edges, edges[1:], strict=False):
+            out[k] += [_head(n), data[a:b], b"\xff\xd9"]
     return [b"".join(x) for x in out]
 
 
@@ -250,15 +260,26 @@ def _lockstep(words: np.ndarray, start: np.ndarray, count: np.ndarray, blocks: t
 
 def thumbnails(medias: list[bytes]) -> list[list[tuple[int, int, np.ndarray]]]:
     """(width, height, DC-only luminance thumbnail) of each image of each media value."""
-    groups: dict = {}
-    places = [[] for _ in medias]
+    images = []
     for k, data in enumerate(medias):
-        at = 0
+        at, number = 0, 0
         while at < len(data):
             frame, a, b, at = parse(data, at)
-            blocks, across, down, h, v = _pattern(frame)
-            places[k].append(None)
-            groups.setdefault((blocks, frame["restart"]), []).append((k, len(places[k]) - 1, data[a:b], frame, across, down, h, v))
+            images.append((k, number, a, b, frame))
+            number += 1
+    places: list[list] = [[] for _ in medias]
+    for k, *_ in images:
+        places[k].append(None)
+    for first, last in _grouped([b - a for _, _, a, b, _ in images]):
+        _decode([(k, n, medias[k][a:b], frame, *_pattern(frame)) for k, n, a, b, frame in images[first:last]], places)
+    return places
+
+
+def _decode(found: list[tuple], places: list[list]) -> None:
+    """Puts the thumbnails of these images, alike ones together, where they belong."""
+    groups: dict = {}
+    for k, place, scan, frame, blocks, across, down, h, v in found:
+        groups.setdefault((blocks, frame["restart"]), []).append((k, place, scan, frame, across, down, h, v))
     for (blocks, restart), images in groups.items():
         scan = np.frombuffer(b"".join(x[2] for x in images), np.uint8)
         full = np.flatnonzero(scan[:-1] == 255) if len(scan) else np.zeros(0, np.int64)
@@ -292,16 +313,18 @@ def thumbnails(medias: list[bytes]) -> list[list[tuple[int, int, np.ndarray]]]:
             grid = flat.reshape(down, across, v, h).transpose(0, 2, 1, 3).reshape(down * v, across * h)
             grid = grid[: -(-frame["height"] // 8), : -(-frame["width"] // 8)]
             places[k][place] = (frame["width"], frame["height"], np.clip((grid * q + 1028) >> 3, 0, 255).astype(np.uint8))
-    return places
 
 
 def average_hash(grid: np.ndarray) -> str:
     """64 bits: which cells of an 8x8 reduction are brighter than their mean; 16 hex digits."""
-    sums = np.zeros((grid.shape[0] + 1, grid.shape[1] + 1), np.int64)
-    np.cumsum(np.cumsum(grid, 0, dtype=np.int64), 1, out=sums[1:, 1:])
-    cut = lambda n: (np.arange(8) * n // 8, np.maximum(np.arange(1, 9) * n // 8, np.arange(8) * n // 8 + 1))
-    (r0, r1), (c0, c1) = cut(grid.shape[0]), cut(grid.shape[1])
-    cells = sums[np.ix_(r1, c1)] - sums[np.ix_(r0, c1)] - sums[np.ix_(r1, c0)] + sums[np.ix_(r0, c0)]
+    ends = lambda n: (np.arange(8) * n // 8, np.maximum(np.arange(1, 9) * n // 8, np.arange(8) * n // 8 + 1))
+    (r0, r1), (c0, c1) = ends(grid.shape[0]), ends(grid.shape[1])
+    # rows are first summed to a band each where there are many, so that sums don't take eight bytes a cell
+    bands = np.array([grid[a:b].sum(0, dtype=np.int64) for a, b in zip(r0, r1, strict=True)]) if grid.size > _GROUP else None
+    down = np.zeros(((8 if bands is not None else grid.shape[0]) + 1, grid.shape[1] + 1), np.int64)
+    np.cumsum(np.cumsum(grid if bands is None else bands, 0, dtype=np.int64), 1, out=down[1:, 1:])
+    a, b = (r0, r1) if bands is None else (np.arange(8), np.arange(1, 9))
+    cells = down[np.ix_(b, c1)] - down[np.ix_(a, c1)] - down[np.ix_(b, c0)] + down[np.ix_(a, c0)]
     means = cells / np.outer(r1 - r0, c1 - c0)
     return np.packbits(means > means.mean()).tobytes().hex()
 
@@ -321,10 +344,14 @@ def store_text(df: DataFrame, id_column: str = "doc_id", text: str = "text") ->
     return bounded(df).select(id_column, text).mapInArrow(run, schema)
 
 
+_FEATURES = ["width", "height", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+
+
 def media_features(df: DataFrame, media: str = "media") -> DataFrame:
     """The columns of ``df`` but ``media``, and what reading the stored bytes back gives: dimensions, payload digests, thumbnail hash."""
+    df, _ = clear_of(df, _FEATURES)
     keep = [c for c in df.columns if c != media]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != media) + ", width int, height int, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    schema = ddl(df.select(*map(quoted, keep))) + ", width int, height int, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
     def run(batches):
         for batch in batches:
@@ -338,12 +365,11 @@ def media_features(df: DataFrame, media: str = "media") -> DataFrame:
                 medias = [x.as_buffer().to_pybytes() for x in part.column(len(keep))]
                 out = []
                 for data, images in zip(medias, thumbnails(medias), strict=True):
-                    payload = b"".join(g.tobytes() for _, _, g in images)
-                    grid = np.concatenate([g for _, _, g in images])
+                    payload = b"".join([g.tobytes() for _, _, g in images])
+                    grid = np.frombuffer(payload, np.uint8).reshape(-1, images[0][2].shape[1]) if len({g.shape[1] for _, _, g in images}) == 1 else images[0][2]
                     width, height = images[0][0], sum(h for _, h, _ in images)
                     out.append((width, height, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(data), hashlib.sha256(data).hexdigest(), f"{width}x{height}:{average_hash(grid)}"))
-                names = ["width", "height", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
                 types = [pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(len(keep))), *(pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True))], [*keep, *names])
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(len(keep))), *(pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True))], [*keep, *_FEATURES])
 
-    return bounded(df).select(*keep, media).mapInArrow(run, schema)
+    return plainly(bounded(df), [*keep, media]).mapInArrow(run, schema)

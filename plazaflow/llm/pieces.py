@@ -5,7 +5,9 @@ where a run of markers begins. The normalised text splits there into chunks; eac
 (and kept for the next slices, up to a bound), and ids are joined back by position. Decoding works on the same table: byte pieces of a
 character lie in one chunk, and only the first marker of the text is dropped.
 
-Null text counts as empty: no ids, empty decoded text. Rows are independent. The model file must be readable on every executor.
+Null text counts as empty: no ids, empty decoded text. Rows are independent, and repeated rows give repeated results. An empty table gives
+an empty result. Own columns whose names clash with those added stay under the name ``own`` and theirs. A very long text is encoded whole,
+in some 50 bytes a word. The model file must be readable on every executor.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ._common import arrow_schema, bounded, ddl, resident, slices, uncollected
+from ._common import arrow_schema, bounded, clear_of, ddl, plainly, quoted, resident, slices, uncollected
 
 _MARK = "▁"
 _CHUNK = re.compile(r" +[^ ]*")
@@ -131,15 +133,16 @@ def encode(df: DataFrame, id_column: str = "doc_id", text: str = "text", model:
 
 
 def with_ids(df: DataFrame, text: str = "text", model: str | None = None) -> DataFrame:
-    """The rows without ``text``, with n_tokens and ids array<int> (columns of these names give way)."""
+    """The rows without ``text``, with n_tokens and ids array<int> (own columns of these names, in either case, become ``own n_tokens`` and the like)."""
     model = model or default_model()
-    keep = [c for c in df.columns if c not in (text, "n_tokens", "ids")]
-    schema = ", ".join([ddl(df.select(*keep)), "n_tokens long, ids array<int>"])
+    df, _ = clear_of(df, ["n_tokens", "ids"])
+    keep = [c for c in df.columns if c != text]
+    schema = ", ".join([ddl(df.select(*map(quoted, keep))), "n_tokens long, ids array<int>"])
     target = arrow_schema(schema)
 
     def run(batches):
         work = segmenter(model)
-        for part in slices(batches, text, _SLICE):
+        for part in slices(batches, f"c{len(keep)}", _SLICE):
             rows = work.look_up(part.column(len(keep)).to_pylist())
             ids = [np.fromstring(",".join([x[0] for x in got]), np.int32, sep=",") if got else np.zeros(0, np.int32) for _, got in rows]
             sizes = np.array([len(i) for i in ids])
@@ -147,7 +150,7 @@ def with_ids(df: DataFrame, text: str = "text", model: str | None = None) -> Dat
             flat = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids)))
             yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], pa.array(sizes), flat.cast(target.field("ids").type)], schema=target)
 
-    return bounded(df).select(*keep, text).mapInArrow(run, schema)
+    return plainly(bounded(df), [*keep, text]).mapInArrow(run, schema)
 
 
 def digest(df: DataFrame, id_column: str = "doc_id", text: str = "text", model: str | None = None) -> DataFrame:

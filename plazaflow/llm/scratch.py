@@ -7,16 +7,20 @@ over can be dropped earlier.
 from __future__ import annotations
 
 import atexit
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 class Scratch:
-    """A folder of its own below the shared one; where the setting is absent, below the warehouse (shared as well on a cluster)."""
+    """A folder of its own below the shared one. Only a session in one process may do without the setting; it uses the warehouse folder."""
 
     def __init__(self, spark: SparkSession):
-        top = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+        top = spark.conf.get("spark.checkpoint.dir", None)
+        if not top and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        top = top or spark.conf.get("spark.sql.warehouse.dir")
         self.spark, self.at = spark, f"{top.rstrip('/')}/scratch-{uuid.uuid4().hex}"
         atexit.register(self.close)
 

@@ -4,7 +4,11 @@ Kinds, in order: ``assign``, ``access``, ``hex`` (base kinds, decided by their p
 token in its last six base-62 digits), ``wallet`` (base58 with a double SHA-256 checksum: private keys in import format and extended
 private keys). A span of the last three is reported only if its checksum holds.
 
-Null text counts as empty; empty text has no span. Rows are independent: repeated rows give repeated results.
+Runs of hex digits have no keyword, so that base kind is one plain scan. Keys in import format are looked for in the ``NEAR`` characters
+behind a keyword (``wif``, ``privkey``, ``private``, ``wallet``).
+
+Null text counts as empty; empty text has no span. Rows are independent: repeated rows give repeated results. An empty table gives an
+empty result. A very long text is scanned whole, in memory proportional to it. Redaction keeps all columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,6 +27,9 @@ BASE_KINDS = KINDS[:3]
 #: What stands in the place of a secret after redaction.
 MASK = "[secret]"
 
+#: How far behind its keyword a key in import format may begin.
+NEAR = 80
+
 # Public token prefixes and the two alphabets of their checksums.
 _ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _GITHUB_PREFIXES = ("ghp_", "gho_", "ghu_", "ghs_", "ghr_")
@@ -38,6 +45,7 @@ _NPM = re.compile(r"npm_[0-9A-Za-z]{36}(?![0-9A-Za-z])")
 _EXTENDED = re.compile(rf"[xyz]prv[{_BASE58}]{{107}}(?![0-9A-Za-z])")
 _IMPORT = re.compile(rf"(?:5[HJK][{_BASE58}]{{49}}|[KL][{_BASE58}]{{51}})(?![0-9A-Za-z])")
 _IMPORT_START = re.compile(r"(?<![0-9A-Za-z])[5KL](?=[1-9A-Za-z]{50})")
+_IMPORT_WORDS = ("wif", "privkey", "private", "wallet")
 
 
 def crc_token(token: str) -> bool:
@@ -70,7 +78,7 @@ def _automaton():
     import ahocorasick
 
     found = ahocorasick.Automaton()
-    lowered = {**dict.fromkeys(_ASSIGN_WORDS, "assign"), "akia": "access", "npm_": "npm", **dict.fromkeys(_GITHUB_PREFIXES, "github"), "xprv": "wallet", "yprv": "wallet", "zprv": "wallet"}
+    lowered = {**dict.fromkeys(_ASSIGN_WORDS, "assign"), "akia": "access", "npm_": "npm", **dict.fromkeys(_GITHUB_PREFIXES, "github"), "xprv": "wallet", "yprv": "wallet", "zprv": "wallet", **dict.fromkeys(_IMPORT_WORDS, "import")}
     for word, kind in lowered.items():
         found.add_word(word, (kind, len(word)))
     found.make_automaton()
@@ -88,6 +96,16 @@ def _anchored(text: str, starts: list[int], pattern: re.Pattern, keep) -> list[t
     return out
 
 
+def _behind(text: str, starts: list[int]) -> list[int]:
+    """Where a key in import format may begin: within ``NEAR`` characters behind the places given."""
+    out, at = [], 0
+    for s in starts:
+        stop = s + NEAR
+        out += [m.start() for m in _IMPORT_START.finditer(text, max(s, at), stop + 60) if m.start() <= stop]
+        at = max(at, stop + 1)
+    return out
+
+
 def find(text: str, automaton) -> list[tuple[int, int, str]]:
     """(start, end, kind) in code points, by start and then kind."""
     starts: dict[str, list[int]] = {}
@@ -101,7 +119,7 @@ def find(text: str, automaton) -> list[tuple[int, int, str]]:
         "hex": [m.span() for m in _HEX.finditer(text)],
         "github": _anchored(text, starts.get("github", []), _GITHUB, lambda m: crc_token(m[0])),
         "npm": _anchored(text, starts.get("npm", []), _NPM, lambda m: crc_token(m[0])),
-        "wallet": _anchored(text, starts.get("wallet", []), _EXTENDED, lambda m: _wallet(m[0])) + _anchored(text, [m.start() for m in _IMPORT_START.finditer(text)], _IMPORT, lambda m: _wallet(m[0])),
+        "wallet": _anchored(text, starts.get("wallet", []), _EXTENDED, lambda m: _wallet(m[0])) + _anchored(text, _behind(text, starts.get("import", [])), _IMPORT, lambda m: _wallet(m[0])),
     }
     spans = [(s, e, k) for k, kind in enumerate(KINDS) for s, e in got[kind]]
     return [(s, e, KINDS[k]) for s, e, k in sorted(spans, key=lambda x: (x[0], x[2], x[1]))]

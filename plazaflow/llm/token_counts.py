@@ -4,12 +4,16 @@ Sections are the lines of a document (a line break belongs to the line it ends);
 section starts. A token that crosses a boundary belongs to the section that has most of its characters, and to the earlier one on a tie
 (a token of no whole character, as byte-level pieces of one character are, belongs to the section of that character).
 
-Null text counts as empty: no tokens, no sections. Rows are independent. Counts of a document's sections sum to its number of tokens.
+Null text counts as empty: no tokens, no sections. Rows are independent, and repeated rows give repeated results. Counts of a document's
+sections sum to its number of tokens. An empty table gives an empty result. Only id and text are read, so other columns can't clash. A very
+long text is encoded whole, in some 30 bytes a byte; runs of over ``LONG_SPACE`` white space, which overflow the tokenizer's matcher, are
+cut out as the pieces that the pattern makes of them.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Callable
 
 import numpy as np
@@ -40,6 +44,25 @@ def _encoding(path: str, pattern: str):
     return resident("tokens", (path, pattern), build)
 
 
+#: Characters of white space in a run that the pattern's matcher still takes.
+LONG_SPACE = 10_000
+#: The characters that the matcher counts as white space.
+_SPACE = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+
+
+def encoded(encoding, text: str) -> list[int]:
+    """As ``encode_ordinary``. A run of white space is one piece of the pattern at the end of a text, else one without its last character."""
+    if len(text) <= LONG_SPACE:
+        return encoding.encode_ordinary(text)
+    out, at = [], 0
+    for m in re.finditer(f"[{_SPACE}]{{{LONG_SPACE},}}", text):
+        end = m.end() - (m.end() < len(text))
+        out += encoding.encode_ordinary(text[at : m.start()])
+        out += encoding._core_bpe.encode_single_piece(text[m.start() : end].encode())
+        at = end
+    return out + encoding.encode_ordinary(text[at:])
+
+
 def line_starts(text: str) -> list[int]:
     """Where lines begin; the empty text has none."""
     out, at = ([0] if text else []), text.find("\n")
@@ -80,7 +103,7 @@ def count_tokens(df: DataFrame, id_column: str = "doc_id", text: str = "text", v
             out = {id_column: rows[id_column], "n_tokens": [], "n_crossing": [], "sections": []}
             for t in rows[text]:
                 starts = sections(t) if t else []
-                ids = encoding.encode_ordinary(t) if t else []
+                ids = encoded(encoding, t) if t else []
                 counts, crossing = attribute(t, sizes[ids], starts) if ids else (np.zeros(len(starts), np.int64), 0)
                 out["n_tokens"].append(len(ids))
                 out["n_crossing"].append(crossing)
