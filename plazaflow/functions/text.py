@@ -12,7 +12,7 @@ _WS = r"(?U)\s+"
 #: Verdict-like replies that are too short to be an answer.
 GENERIC_REPLIES = ("yes", "no", "ok", "okay", "good", "bad")
 #: Placeholders that a finished answer doesn't hold.
-PLACEHOLDERS = (r"\[.*?\]", r"\{.*?\}", r"<.*?>", r"_{3,}", r"\.{3,}")
+PLACEHOLDERS = (r"\[.*?\]", r"\{.*?\}", r"<.*?>", r"___+", r"\.\.\.+")
 
 
 def strip(c: Column) -> Column:
@@ -253,14 +253,15 @@ def token_loop(c: Column) -> Column:
 def trailing_run(c: Column) -> Column:
     """How often the last character is repeated at the end; 0 for white space."""
     t = F.coalesce(c, F.lit(""))
-    run = F.length(F.regexp_extract(t, r"(?s)(.)\1*$", 0))
-    return F.when(F.regexp_like(F.substring(t, -1, 1), F.lit(r"(?U)^\s?$")), 0).otherwise(run)
+    last = F.right(t, F.lit(1))
+    run = F.length(t) - F.length(F.rtrim(t, last))
+    return F.when(F.regexp_like(last, F.lit(r"(?U)^\s?$")), 0).otherwise(run)
 
 
 def word_run(c: Column) -> Column:
-    """The longest run of one word in a row, case aside."""
+    """The longest run of one word in a row."""
     step = F.aggregate(
-        words(F.lower(c)),
+        words(c),
         F.struct(F.lit("").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("most")),
         lambda a, x: F.struct(x.alias("last"), F.when(x == a["last"], a["run"] + 1).otherwise(1).alias("run"), F.greatest(a["most"], F.when(x == a["last"], a["run"] + 1).otherwise(1)).alias("most")),
     )
@@ -268,13 +269,14 @@ def word_run(c: Column) -> Column:
 
 
 def pair_error(human: Column, reply: Column, least_chars: int = 10, least_words: int = 3, strict: bool = True) -> Column:
-    """A code for the first check that a question and its reply fail, in fixed order; null if they pass. ``strict``: also the last three checks."""
-    h, g = F.trim(F.coalesce(human, F.lit(""))), F.trim(F.coalesce(reply, F.lit("")))
+    """A code for the first check that a question and its reply fail, in fixed order; null if they pass. ``strict``: also the last checks, on runs, placeholders of either, and generic replies."""
+    h, g = strip(F.coalesce(human, F.lit(""))), strip(F.coalesce(reply, F.lit("")))
     out = F.when(h == "", "empty_human").when(g == "", "empty_reply").when(h == g, "identical")
     out = out.when(F.length(h) < least_chars, "short_human").when(F.length(g) < least_chars, "short_reply")
     out = out.when(F.size(words(h)) < least_words, "few_words_human").when(F.size(words(g)) < least_words, "few_words_reply")
     if strict:
-        hold = F.regexp_like(g, F.lit("(?s)" + "|".join(PLACEHOLDERS)))
+        # (?d): a dot stops at line feeds only
+        hold = F.regexp_like(h, F.lit("(?d)" + "|".join(PLACEHOLDERS))) | F.regexp_like(g, F.lit("(?d)" + "|".join(PLACEHOLDERS)))
         out = out.when(word_run(h) > 3, "word_run_human").when(word_run(g) > 3, "word_run_reply").when(hold, "placeholder").when((F.length(g) < 20) & F.lower(g).isin(*GENERIC_REPLIES), "generic_reply")
     return out
 

@@ -9,10 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Quantity units in one slot of the range join of the order book.
-SLOT = 64
-
-
 def valid_orders(df: DataFrame, side: str = "side", price: str = "price", quantity: str = "quantity") -> DataFrame:
     """Buys and sells with positive price and quantity; holds are free of both and leave the book."""
     return df.where(F.col(side).isin("buy", "sell") & (F.col(price) > 0) & (F.col(quantity) > 0))
@@ -28,25 +24,24 @@ def order_errors(df: DataFrame, side: str = "side", price: str = "price", quanti
     return df.withColumn("error", error)
 
 
-def match_quantities(orders: DataFrame, market: list[str], agent: str = "agent_id", side: str = "side", price: str = "price", quantity: str = "quantity", slot: int = SLOT) -> DataFrame:
-    """Trades with partial fills: best bid against best ask while they cross, price at the midpoint; ties by agent.
+def match_quantities(orders: DataFrame, market: list[str], agent: str = "agent_id", side: str = "side", price: str = "price", quantity: str = "quantity") -> DataFrame:
+    """Trades with partial fills: best bid against best ask while they cross, price at the midpoint; ties by agent. Quantities may be fractions of any size.
 
     Closed form: on each side an order takes the half-open interval of the running quantity; a trade is an overlap of a bid's and an
-    ask's interval where the bid is not below the ask. Intervals meet through slots of ``slot`` units, an equi-join that Spark can
-    split on skew, so a deep book is no cross product.
+    ask's interval where the bid is not below the ask. The ends of both sides' intervals, in falling order, cut the book into segments,
+    and the bid and the ask of a segment are the last ones seen: two windows, one row an order, no join.
     """
     best = F.when(F.col(side) == "buy", -F.col(price)).otherwise(F.col(price))
-    w = W.partitionBy(*market, side).orderBy(best, agent).rowsBetween(W.unboundedPreceding, 0)
-    book = orders.withColumn("hi", F.sum(quantity).over(w)).withColumn("lo", F.col("hi") - F.col(quantity))
-    slots = F.explode(F.sequence(F.floor(F.col("lo") / slot), F.floor((F.col("hi") - 1) / slot)))
-
-    def leg(kind, name):
-        return book.where(F.col(side) == kind).select(*market, slots.alias("slot"), F.col(agent).alias(name), F.col(price).alias(f"{name}_price"), F.col("lo").alias(f"{name}_lo"), F.col("hi").alias(f"{name}_hi"))
-
-    met = leg("buy", "buyer_id").join(leg("sell", "seller_id"), [*market, "slot"])
-    low, high = F.greatest("buyer_id_lo", "seller_id_lo"), F.least("buyer_id_hi", "seller_id_hi")
-    met = met.where((low < high) & (F.col("buyer_id_price") >= F.col("seller_id_price")) & (F.floor(low / slot) == F.col("slot")))
-    return met.select(*market, "buyer_id", "seller_id", (high - low).alias("quantity"), ((F.col("buyer_id_price") + F.col("seller_id_price")) / 2).alias("price"), low.alias("at"))
+    upto = F.sum(quantity).over(W.partitionBy(*market, side).orderBy(best, agent).rowsBetween(W.unboundedPreceding, 0))
+    down = W.partitionBy(*market).orderBy(F.desc("hi"), side, agent)
+    so_far = down.rowsBetween(W.unboundedPreceding, 0)
+    seen = lambda kind: F.last(F.when(F.col(side) == kind, F.struct(F.col(agent).alias("agent"), F.col(price).alias("price"))), ignorenulls=True).over(so_far)
+    cut = orders.select(*market, agent, side, price, upto.alias("hi"))
+    cut = cut.select(*market, "hi", F.coalesce(F.lead("hi").over(down), F.lit(0)).alias("lo"), seen("buy").alias("buy"), seen("sell").alias("sell"))
+    # running sums of fractions differ in their last digits; a sliver of that size is no trade
+    real = F.col("hi") - F.col("lo") > F.lit(1e-12) * F.col("hi")
+    met = cut.where(real & (F.col("buy.price") >= F.col("sell.price")))
+    return met.select(*market, F.col("buy.agent").alias("buyer_id"), F.col("sell.agent").alias("seller_id"), (F.col("hi") - F.col("lo")).alias("quantity"), ((F.col("buy.price") + F.col("sell.price")) / 2).alias("price"), F.col("lo").alias("at"))
 
 
 def number_trades(trades: DataFrame, market: list[str], at: str = "at") -> DataFrame:

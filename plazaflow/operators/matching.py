@@ -114,3 +114,60 @@ def greedy_distinct(df: DataFrame, title: str, order: str, groups: list[str] = (
         stay = stay.join(gone, F.col("own place") == F.col("out"), "left_anti")
     named = rows.withColumn("own place", F.struct("own group", F.col(order).alias("own order"), F.col(title).alias("own title")))
     return named.join(stay, "own place", "left_semi").dropDuplicates(["own place"]).select(*(F.col(f"`{c}`") for c in df.columns))
+
+
+def contained_pairs(rows: DataFrame, items: DataFrame, key: str, text: str, item: str, expected: str) -> DataFrame:
+    """(key, item) of rows and items of which one's text equals or holds the other's, case and white space at the ends aside; blank ones match nothing.
+
+    The items are a stated query set: they go to the tasks in blocks of ``BLOCK`` rows, as an Aho-Corasick automaton for items within
+    texts, and for texts within items as one joined text that only texts no longer than the longest item are looked for in. Rows aren't shuffled.
+    """
+    spark, n = rows.sparkSession, items.count()
+    blocks, out = max(1, -(-n // BLOCK)), None
+    from ..functions.text import strip
+
+    plain = lambda c: F.lower(strip(F.coalesce(F.col(c), F.lit(""))))
+    kinds = dict(rows.dtypes)[key], dict(items.dtypes)[item]
+    for b in range(blocks):
+        part = items.select(F.col(item).alias("item"), plain(expected).alias("text")).where("text <> ''")
+        part = part if blocks == 1 else part.where(F.pmod(F.xxhash64("item", "text"), blocks) == b)
+        shared = spark.sparkContext.broadcast([tuple(r) for r in part.collect()])
+        got = rows.select(F.col(key).alias("key"), plain(text).alias("text")).where("text <> ''").mapInPandas(_containing(shared), f"`key` {kinds[0]}, item {kinds[1]}")
+        out = got if out is None else out.unionByName(got)
+    return out.select(F.col("key").alias(key), F.col("item").alias(item))
+
+
+def _containing(shared):
+    def run(batches):
+        import bisect
+
+        import ahocorasick
+
+        owners: dict[str, list] = {}
+        for item, text in shared.value:
+            owners.setdefault(text, []).append(item)
+        texts = list(owners)
+        automaton = ahocorasick.Automaton()
+        for k, t in enumerate(texts):
+            automaton.add_word(t, k)
+        if texts:
+            automaton.make_automaton()
+        joined, starts, at = "\0".join(texts), [], 0
+        for t in texts:
+            starts.append(at)
+            at += len(t) + 1
+        longest = max(map(len, texts), default=0)
+        for batch in batches:
+            found = []
+            for name, t in zip(batch["key"], batch["text"], strict=True):
+                hits = {k for _, k in automaton.iter(t)} if texts else set()
+                at = joined.find(t) if len(t) <= longest and "\0" not in t else -1
+                while at >= 0:
+                    k = bisect.bisect_right(starts, at) - 1
+                    hits.add(k)
+                    # on to the next item
+                    at = joined.find(t, starts[k] + len(texts[k]) + 1)
+                found += [(name, i) for k in sorted(hits) for i in owners[texts[k]]]
+            yield pd.DataFrame(found, columns=["key", "item"])
+
+    return run

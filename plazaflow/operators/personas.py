@@ -39,13 +39,26 @@ def weighted(key: Column, purpose: str, options: dict[str, float], seed: int = 0
     return out
 
 
+#: Options that a persona may choose from; the list stands in each row's plan, so it is bounded.
+MOST_OPTIONS = 1000
+
+
 def valid_options(df: DataFrame, options: DataFrame, least: int = 2) -> DataFrame:
-    """Pairs of persona and option (name, min_age, max_age, education, min_income) of which ``least`` of three conditions hold. Options are a fixed list."""
-    age = F.coalesce(F.col("age").between(F.col("min_age"), F.col("max_age")), F.lit(True))
-    education = F.coalesce(F.col("option_education") == F.col("education"), F.lit(True))
-    income = F.coalesce(F.col("income") >= F.col("min_income"), F.lit(True))
-    held = age.cast("int") + education.cast("int") + income.cast("int")
-    return df.join(options.withColumnRenamed("education", "option_education"), held >= least)
+    """Pairs of persona and option (name, min_age, max_age, education, min_income) of which ``least`` of three conditions hold.
+
+    The options are a short list (``MOST_OPTIONS`` at most, else an error): they stand as one array beside each persona and are filtered there, without a join.
+    """
+    rows = options.limit(MOST_OPTIONS + 1).collect()
+    if len(rows) > MOST_OPTIONS:
+        raise ValueError(f"over {MOST_OPTIONS} options")
+    names = [f.name for f in options.schema]
+    every = F.array(*(F.struct(*(F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in options.schema)) for r in rows)) if rows else F.array().cast(f"array<{options.schema.simpleString()}>")
+    age = lambda o: F.coalesce(F.col("age").between(o["min_age"], o["max_age"]), F.lit(True))
+    education = lambda o: F.coalesce(o["education"] == F.col("education"), F.lit(True))
+    income = lambda o: F.coalesce(F.col("income") >= o["min_income"], F.lit(True))
+    fits = F.filter(every, lambda o: age(o).cast("int") + education(o).cast("int") + income(o).cast("int") >= least)
+    got = df.select("*", F.explode(fits).alias("own option"))
+    return got.select(*df.columns, *(F.col(f"own option.{n}").alias("option_education" if n == "education" else n) for n in names))
 
 
 def one_of_valid(df: DataFrame, options: DataFrame, key: str, purpose: str, seed: int = 0) -> DataFrame:

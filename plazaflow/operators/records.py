@@ -106,13 +106,42 @@ def trajectory_rows(runs: DataFrame) -> DataFrame:
 
 
 def cleaned(df: DataFrame, conversation: str = "conversations") -> DataFrame:
-    """Conversations with think tags repaired, degenerate replies and what is left unpaired gone, the first of equal ones, and valid."""
+    """Conversations cleaned and valid, one of each kind.
+
+    Roles other than human and gpt go by place. Questions lose code fences, a JSON wrapper, numbering and quotes; replies get their opening
+    think tag. A degenerate or looping reply, or one with a long trailing run, goes with its question. A pair that repeats in the conversation
+    counts once. What is left must have two turns with a text in each.
+    """
     from .conversations import conversation_key, pairs_only
 
-    fixed = F.transform(F.col(conversation), lambda x: F.struct(x["from"].alias("from"), F.when(x["from"] == "gpt", t.with_opening_think(x["value"])).otherwise(x["value"]).alias("value")))
-    good = F.filter(fixed, lambda x: (x["from"] != "gpt") | ~(t.degenerate(x["value"]) | t.token_loop(x["value"]) | (t.trailing_run(x["value"]) >= 40)))
-    got = df.withColumn(conversation, pairs_only(good)).where(F.size(conversation) >= 2)
-    return got.withColumn("conversation_key", conversation_key(F.col(conversation)))
+    role = lambda x, i: F.when(x["from"].isin("human", "gpt"), x["from"]).otherwise(F.when(i % 2 == 0, "human").otherwise("gpt"))
+    got = df.withColumn(conversation, F.transform(F.col(conversation), lambda x, i: F.struct(role(x, i).alias("from"), F.coalesce(x["value"], F.lit("")).alias("value"))))
+    # a wrapper is a JSON object, so only turns that hold a brace go through Python
+    got = got.withColumn("own asked", F.transform(conversation, lambda x: F.when(x["from"] == "human", t.strip_fences(x["value"]))))
+    got = got.withColumn("own asked", F.when(F.exists("own asked", lambda x: F.contains(x, F.lit("{"))), unwrapped_col(F.col("own asked"))).otherwise(F.col("own asked")))
+    asked = lambda x: t.strip_quotes(t.strip_numbering(x))
+    said = F.zip_with(conversation, "own asked", lambda x, q: F.struct(x["from"].alias("from"), F.when(x["from"] == "human", asked(q)).otherwise(t.with_opening_think(x["value"])).alias("value")))
+    good = F.filter(said, lambda x: (x["from"] != "gpt") | ~(t.degenerate(x["value"]) | t.token_loop(x["value"]) | (t.trailing_run(x["value"]) >= 40)))
+    got = got.withColumn(conversation, pairs_only(good)).drop("own asked")
+    # pairs_only leaves question and reply in turn
+    pairs = F.transform(F.sequence(F.lit(1), F.size(conversation) - 1, F.lit(2)), lambda i: F.struct(F.element_at(conversation, i).alias("q"), F.element_at(conversation, i + 1).alias("a")))
+    got = got.where(F.size(conversation) >= 2).withColumn(conversation, F.flatten(F.transform(F.array_distinct(pairs), lambda x: F.array(x["q"], x["a"]))))
+    return got.where(F.forall(conversation, lambda x: t.strip(x["value"]) != "")).withColumn("conversation_key", conversation_key(F.col(conversation)))
+
+
+def unwrapped_col(c: Column) -> Column:
+    """Each text of an array, or the question of the JSON object that it is."""
+    from ..functions.replies import question_of
+
+    return arrow_udf(lambda xs: [None if x is None else question_of(x) or x for x in xs], "array<string>")(c)
+
+
+def board_insert(posts: DataFrame, new: DataFrame, order: str) -> DataFrame:
+    """The posts and the new ones behind them: ids go on from the number of posts, in the order given."""
+    from .conversations import numbered
+
+    ids = numbered(new.drop("id"), F.col(order), "own place").withColumn("id", (F.lit(posts.count()) + F.col("own place")).cast(posts.schema["id"].dataType)).drop("own place")
+    return posts.unionByName(ids.select(posts.columns))
 
 
 def merged_sources(sources: dict[str, DataFrame]) -> DataFrame:

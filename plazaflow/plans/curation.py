@@ -158,22 +158,39 @@ def cohorts_shuffled(spark, sf_dir):
     return c.cohorts(rows, "c_custkey", 5, F.col("o"), ["c_nationkey"]).select("c_custkey", "cohort")
 
 
-@query("""
-WITH q AS (SELECT conv_id, max_by(text, turn) FILTER (role = 'user' AND trim(text) <> '') AS h, max_by(text, turn) FILTER (role = 'assistant' AND trim(text) <> '') AS g, count(*) AS n FROM conversations GROUP BY 1),
-w AS (SELECT *, trim(coalesce(h, '')) AS hh, trim(coalesce(g, '')) AS gg FROM q),
-s AS (SELECT *, regexp_extract_all(lower(hh), '[^\\s]+') AS hw, regexp_extract_all(lower(gg), '[^\\s]+') AS gw FROM w)
-SELECT conv_id, CASE WHEN n < 2 THEN 'too_few_turns' WHEN hh = '' THEN 'empty_human' WHEN gg = '' THEN 'empty_reply' WHEN hh = gg THEN 'identical' WHEN length(hh) < 10 THEN 'short_human' WHEN length(gg) < 10 THEN 'short_reply' WHEN len(hw) < 3 THEN 'few_words_human' WHEN len(gw) < 3 THEN 'few_words_reply' END AS reason FROM s
+#: DuckDB: the longest run of one word in each of two texts of ``s``, and the placeholders.
+_CHECKS = r"""
+WITH q AS (SELECT conv_id, max_by(text, turn) FILTER (role = 'user' AND trim(text) <> '') AS h, max_by(text, turn) FILTER (role = 'assistant' AND trim(text) <> '') AS g, count(*) AS n FROM u GROUP BY 1),
+s AS (SELECT conv_id, n, trim(coalesce(h, ''), ' ' || chr(9) || chr(10)) AS hh, trim(coalesce(g, ''), ' ' || chr(9) || chr(10)) AS gg FROM q),
+w AS (SELECT conv_id, side, unnest(l) AS word, generate_subscripts(l, 1) AS pos FROM (SELECT conv_id, 'h' AS side, regexp_extract_all(hh, '[^\s]+') AS l FROM s UNION ALL SELECT conv_id, 'g', regexp_extract_all(gg, '[^\s]+') FROM s)),
+r AS (SELECT conv_id, side, count(*) AS n FROM (SELECT *, pos - row_number() OVER (PARTITION BY conv_id, side, word ORDER BY pos) AS d FROM w) GROUP BY conv_id, side, word, d),
+m AS (SELECT conv_id, max(n) FILTER (side = 'h') AS hr, max(n) FILTER (side = 'g') AS gr FROM r GROUP BY 1)
+SELECT conv_id, CASE WHEN n < 2 THEN 'too_few_turns' WHEN hh = '' THEN 'empty_human' WHEN gg = '' THEN 'empty_reply' WHEN hh = gg THEN 'identical' WHEN length(hh) < 10 THEN 'short_human' WHEN length(gg) < 10 THEN 'short_reply'
+WHEN len(regexp_extract_all(hh, '[^\s]+')) < 3 THEN 'few_words_human' WHEN len(regexp_extract_all(gg, '[^\s]+')) < 3 THEN 'few_words_reply' WHEN coalesce(hr, 0) > 3 THEN 'word_run_human' WHEN coalesce(gr, 0) > 3 THEN 'word_run_reply'
+WHEN regexp_matches(hh, '\[.*?\]|\{.*?\}|<.*?>|___+|\.\.\.+') OR regexp_matches(gg, '\[.*?\]|\{.*?\}|<.*?>|___+|\.\.\.+') THEN 'placeholder' WHEN length(gg) < 20 AND lower(gg) IN ('yes', 'no', 'ok', 'okay', 'good', 'bad') THEN 'generic_reply' END AS reason FROM s LEFT JOIN m USING (conv_id)
+"""
+
+
+@query(f"""
+WITH u AS (SELECT conv_id, turn, role, CASE WHEN role = 'user' AND conv_id % 11 = 1 THEN text || ' [name]' WHEN role = 'user' AND conv_id % 11 = 2 THEN 'go go go go ' || text WHEN role = 'user' AND conv_id % 11 = 3 THEN 'Go go GO go ' || text
+WHEN role = 'assistant' AND conv_id % 11 = 4 THEN text || ' ...' WHEN role = 'assistant' AND conv_id % 11 = 5 THEN 'no no no no' WHEN role = 'assistant' AND conv_id % 11 = 6 THEN 'yes' WHEN role = 'assistant' AND conv_id % 11 = 7 THEN '' WHEN role = 'user' AND conv_id % 11 = 8 THEN 'a b' WHEN conv_id % 11 = 9 THEN 'the same text ' || conv_id ELSE text END AS text FROM conversations)
+SELECT * FROM ({_CHECKS})
 """)
 def validate_conversation_reasons(spark, sf_dir):
-    """The always-on checks; the ones that need a configuration are covered by tests."""
-    turns = table(spark, sf_dir, "conversations")
+    """All checks, on conversations of which many are spoilt in one way."""
+    k, user = F.col("conv_id") % 11, F.col("role") == "user"
+    reply = F.col("role") == "assistant"
+    text = F.when(user & (k == 1), F.concat("text", F.lit(" [name]"))).when(user & (k == 2), F.concat(F.lit("go go go go "), "text")).when(user & (k == 3), F.concat(F.lit("Go go GO go "), "text"))
+    text = text.when(reply & (k == 4), F.concat("text", F.lit(" ..."))).when(reply & (k == 5), "no no no no").when(reply & (k == 6), "yes").when(reply & (k == 7), "").when(user & (k == 8), "a b")
+    text = text.when(k == 9, F.concat(F.lit("the same text "), F.col("conv_id").cast("string"))).otherwise(F.col("text"))
+    turns = table(spark, sf_dir, "conversations").withColumn("text", text)
     packed = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("m"))
     conv = packed.select("conv_id", c.from_messages(F.transform("m", lambda r: F.struct(r["role"].alias("role"), r["text"].alias("content")))).alias("conversations"))
-    return c.rejection_reasons(conv, strict=False).select("conv_id", "reason")
+    return c.rejection_reasons(conv).select("conv_id", "reason")
 
 
 @query("""
-WITH w AS (SELECT conv_id, turn, lower(word) AS word, pos FROM (SELECT conv_id, turn, unnest(l) AS word, generate_subscripts(l, 1) AS pos FROM (SELECT conv_id, turn, regexp_extract_all(text, '[^\\s]+') AS l FROM conversations))),
+WITH w AS (SELECT conv_id, turn, word, pos FROM (SELECT conv_id, turn, unnest(l) AS word, generate_subscripts(l, 1) AS pos FROM (SELECT conv_id, turn, regexp_extract_all(text, '[^\\s]+') AS l FROM conversations))),
 i AS (SELECT *, pos - row_number() OVER (PARTITION BY conv_id, turn, word ORDER BY pos) AS g FROM w),
 r AS (SELECT conv_id, turn, word, g, count(*) AS n FROM i GROUP BY ALL)
 SELECT c.conv_id, c.turn, coalesce(max(n), 0)::INT AS longest_run FROM conversations c LEFT JOIN r USING (conv_id, turn) GROUP BY 1, 2
@@ -220,14 +237,13 @@ def trailing_char_run(spark, sf_dir):
 
 
 @query("""
-WITH b AS (SELECT item_id, lower(trim(text)) AS x FROM benchmark WHERE trim(text) <> ''), d AS (SELECT doc_id, lower(trim(text)) AS y FROM documents WHERE trim(text) <> '')
+WITH b AS (SELECT item_id, lower(trim(text, ' ' || chr(9) || chr(10))) AS x FROM benchmark WHERE trim(text) <> ''), d AS (SELECT doc_id, lower(trim(text, ' ' || chr(9) || chr(10))) AS y FROM documents WHERE trim(text) <> '')
 SELECT doc_id, item_id FROM d JOIN b ON x = y OR contains(x, y) OR contains(y, x)
 """)
 def answer_containment(spark, sf_dir):
     items = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("expected"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    # the benchmark is the stated query set; Spark broadcasts it only within its size threshold
-    return docs.join(items, t.answers_agree(F.col("expected"), F.col("text"))).select("doc_id", "item_id")
+    return matching.contained_pairs(docs, items, "doc_id", "text", "item_id", "expected")
 
 
 @query("""
@@ -259,34 +275,55 @@ def names(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", t.identifier(n).alias("identifier"), t.alphanumeric(n).alias("plain"), t.tool_name_valid(n).alias("valid"))
 
 
-def _tagged(spark, sf_dir):
-    """Documents with think, call and boxed tags around parts of them."""
-    head, rest = F.left("text", F.lit(80)), F.substring(F.col("text"), F.lit(81), F.lit(120))
-    call = F.concat(F.lit('<tool_call>{"name": "look_up", "arguments": {"id": '), F.col("doc_id").cast("string"), F.lit("}}</tool_call>"))
-    tagged = F.concat(F.when(F.col("doc_id") % 5 != 0, F.concat(F.lit("<think>"), head, F.lit("</think>"))).otherwise(""), rest, F.when(F.col("doc_id") % 3 == 0, call).otherwise(""), F.lit(" Final answer: \\boxed{x^{2} + "), F.col("doc_id").cast("string"), F.lit("}"))
-    return table(spark, sf_dir, "documents").select("doc_id", "text", tagged.alias("tagged"))
-
-
-_TAGGED = """g AS (SELECT doc_id, CASE WHEN doc_id % 5 <> 0 THEN '<think>' || left(text, 80) || '</think>' ELSE '' END || substring(text, 81, 120) || CASE WHEN doc_id % 3 = 0 THEN '<tool_call>{"name": "look_up", "arguments": {"id": ' || doc_id || '}}</tool_call>' ELSE '' END || ' Final answer: \\boxed{x^{2} + ' || doc_id || '}' AS tagged, text FROM documents)"""
+_WS = "' ' || chr(9) || chr(10) || chr(13)"
+_HALF = "left(text, length(text) // 2)"
+_REST = "substring(text, length(text) // 2 + 1)"
 
 
 @query(f"""
-WITH {_TAGGED}
-SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'no_block' WHEN trim(left(text, 80), ' \t\n') = '' THEN 'empty_block' END AS error, CASE WHEN doc_id % 5 <> 0 THEN md5(trim(left(text, 80), ' \t\n')) END AS think_md5, contains(tagged, '<tool_call>') AS has_call FROM g
+WITH g AS (SELECT doc_id, trim({_HALF}, {_WS}) AS h, trim(text, {_WS}) AS x FROM documents)
+SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN CASE WHEN h = '' THEN 'empty_block' END WHEN 1 THEN CASE WHEN x = '' THEN 'empty' ELSE 'no_block' END WHEN 2 THEN 'no_block' WHEN 3 THEN 'not_at_start' WHEN 4 THEN 'empty_block' WHEN 5 THEN 'several_blocks' ELSE 'no_block' END AS error,
+CASE doc_id % 7 WHEN 0 THEN md5(h) WHEN 3 THEN md5(h) WHEN 4 THEN md5('') WHEN 5 THEN md5('a') END AS think_md5, doc_id % 7 IN (0, 3, 4, 5) AS has_think, doc_id % 7 IN (2) AS has_open FROM g
 """)
 def think_blocks(spark, sf_dir):
+    """Whole texts with a block around their first half, and six ways to get it wrong."""
+    k, text = F.col("doc_id") % 7, F.col("text")
+    half = F.floor(F.length(text) / 2).cast("int")
+    head, rest = F.left(text, half), F.substring(text, half + 1, F.length(text))
+    block = F.concat(F.lit("<think>"), head, F.lit("</think>"), rest)
+    tagged = F.when(k == 0, block).when(k == 1, text).when(k == 2, F.concat(F.lit("<think>"), text)).when(k == 3, F.concat(F.lit("x"), block)).when(k == 4, F.concat(F.lit("<think> \n</think>"), text)).when(k == 5, F.concat(F.lit("<think>a</think><think>b</think>"), text)).otherwise(F.concat(head, F.lit("</think>"), rest))
     c_ = F.col("tagged")
-    return _tagged(spark, sf_dir).select("doc_id", t.think_error(c_).alias("error"), F.md5(t.between(c_, "think")).alias("think_md5"), t.has_block(c_, "tool_call").alias("has_call"))
+    return table(spark, sf_dir, "documents").select("doc_id", tagged.alias("tagged")).select("doc_id", t.think_error(c_).alias("error"), F.md5(t.between(c_, "think")).alias("think_md5"), t.has_block(c_, "think").alias("has_think"), (F.contains(c_, F.lit("<think>")) & ~t.has_block(c_, "think")).alias("has_open"))
 
 
-@query("SELECT doc_id, 'x^{2} + ' || doc_id AS boxed FROM documents")
+@query("""
+SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'x^{2} + ' || doc_id WHEN 4 THEN NULL ELSE doc_id::VARCHAR END AS boxed, CASE doc_id % 5 WHEN 3 THEN 2 WHEN 4 THEN 0 ELSE 1 END::INT AS boxes FROM documents
+""")
 def balanced_boxed(spark, sf_dir):
-    return _tagged(spark, sf_dir).select("doc_id", parsing.boxed_final_col(F.col("tagged")).alias("boxed"))
+    """Whole texts with a box behind a label, before the text, within an unclosed one, within another, or unclosed."""
+    k, n, text = F.col("doc_id") % 5, F.col("doc_id").cast("string"), F.col("text")
+    tagged = F.when(k == 0, F.concat(text, F.lit(" Final answer: \\boxed{x^{2} + "), n, F.lit("}"))).when(k == 1, F.concat(F.lit("\\boxed{"), n, F.lit("} "), text)).when(k == 2, F.concat(text, F.lit(" \\boxed{a and \\boxed {"), n, F.lit("}")))
+    tagged = tagged.when(k == 3, F.concat(text, F.lit(" \\boxed{n \\boxed{"), n, F.lit("}}"))).otherwise(F.concat(text, F.lit(" \\boxed{"), n))
+    return table(spark, sf_dir, "documents").select("doc_id", tagged.alias("tagged")).select("doc_id", parsing.boxed_final_col(F.col("tagged")).alias("boxed"), F.size(parsing.boxed_all_col(F.col("tagged"))).alias("boxes"))
 
 
-@query("""SELECT doc_id, 'look_up' AS name, '{"id":' || doc_id || '}' AS arguments FROM documents WHERE doc_id % 3 = 0""")
+@query("""
+SELECT doc_id, 'look_up' AS name, '{"id":' || doc_id || '}' AS arguments FROM documents WHERE doc_id % 5 IN (0, 3) UNION ALL SELECT doc_id, 'second', '{"a":[1,2],"b":null}' FROM documents WHERE doc_id % 5 = 3
+""")
 def tool_call_parse(spark, sf_dir):
-    return _tagged(spark, sf_dir).select("doc_id", F.explode(parsing.tool_calls_col(F.col("tagged"))).alias("c")).select("doc_id", "c.*")
+    """Whole texts with a call, repeated; an unclosed one; one that is no JSON; one as a literal with another behind it; one without a name."""
+    k, n, text = F.col("doc_id") % 5, F.col("doc_id").cast("string"), F.col("text")
+    call = F.concat(F.lit('<tool_call>{"name": "look_up", "arguments": {"id": '), n, F.lit("}}</tool_call>"))
+    half = F.floor(F.length(text) / 2).cast("int")
+    tagged = F.when(k == 0, F.concat(F.left(text, half), call, F.substring(text, half + 1, F.length(text)), call)).when(k == 1, F.concat(text, F.lit('<tool_call>{"name": "look_up", "arguments": {}}'))).when(k == 2, F.concat(F.lit('<tool_call>{"name": "look_up", '), n, F.lit("</tool_call>"), text))
+    tagged = tagged.when(k == 3, F.concat(F.lit("<tool_call>{'name': 'look_up', 'arguments': {'id': "), n, F.lit("}}</tool_call>"), text, F.lit('<tool_call>\n{"arguments": {"b": null, "a": [1, 2]}, "name": "second"}\n</tool_call>'))).otherwise(F.concat(text, F.lit('<tool_call>{"arguments": {}}</tool_call>')))
+    return table(spark, sf_dir, "documents").select("doc_id", F.explode(parsing.tool_calls_col(tagged)).alias("c")).select("doc_id", "c.*")
+
+
+@query("SELECT doc_id, (i * 850)::INT AS start_pos, least(i * 850 + 1000, length(text))::INT AS end_pos, md5(substring(text, i * 850 + 1, 1000)) AS text_md5 FROM (SELECT doc_id, text, unnest(range(greatest(1, (length(text) - 150 + 849) // 850))) AS i FROM documents WHERE text <> '')")
+def page_pieces(spark, sf_dir):
+    """The overlapping splitter of page search over whole documents."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.explode(parsing.split_pages_col(F.col("text"))).alias("c")).select("doc_id", "c.start_pos", "c.end_pos", F.md5("c.text").alias("text_md5"))
 
 
 @query()
@@ -301,9 +338,10 @@ def html_clean_text(spark, sf_dir):
 
 @query()
 def fuzzy_match(spark, sf_dir):
-    left = table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.col("c_mktsegment"), F.lit(" trade")).alias("title"))
-    right = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("name"))
-    return matching.best_match(left, right, "title", "name", "n_nationkey", 30)
+    """Titles with a letter doubled or dropped find the part name that they come from; the test holds ratios against difflib."""
+    left = table(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_partkey") % 2 == 0, F.concat("p_name", F.lit("s"))).otherwise(F.substring("p_name", 2, 100)).alias("title"))
+    right = table(spark, sf_dir, "part").groupBy(F.col("p_name").alias("name")).agg(F.min("p_partkey").alias("first"))
+    return matching.best_match(left, right, "title", "name", "first", 80)
 
 
 @query()

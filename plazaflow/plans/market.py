@@ -21,7 +21,7 @@ def _trades(spark, sf_dir) -> DataFrame:
 
 @query(f"""
 WITH {_ORDERS},
-b AS (SELECT *, CAST(sum(quantity) OVER (PARTITION BY market, side ORDER BY CASE WHEN side = 'buy' THEN -price ELSE price END, agent_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS hi FROM o)
+b AS MATERIALIZED (SELECT *, CAST(sum(quantity) OVER (PARTITION BY market, side ORDER BY CASE WHEN side = 'buy' THEN -price ELSE price END, agent_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS hi FROM o)
 SELECT x.market, x.agent_id AS buyer_id, y.agent_id AS seller_id, least(x.hi, y.hi) - greatest(x.hi - x.quantity, y.hi - y.quantity) AS quantity, (x.price + y.price) / 2 AS price
 FROM b x JOIN b y ON x.market = y.market AND x.side = 'buy' AND y.side = 'sell' AND x.price >= y.price AND greatest(x.hi - x.quantity, y.hi - y.quantity) < least(x.hi, y.hi)
 """)

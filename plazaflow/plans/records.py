@@ -180,9 +180,15 @@ def schema_checks(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.array_join(parsing.schema_check_col(body, schema), ",").alias("errors"))
 
 
-@query("SELECT page_id, '| h |' || chr(10) || '| --- |' || chr(10) || '| ' || page_id || ' |' AS markdown FROM pages")
+@query("""
+SELECT page_id, CASE WHEN k = 1 THEN '| h |  |' || chr(10) || '| --- | --- |' || chr(10) || '| ' || page_id || ' | x y |' ELSE '| second |' || chr(10) || '| --- |' END AS markdown FROM pages, (VALUES (1), (2)) v(k) WHERE k <= page_id % 3
+""")
 def html_tables(spark, sf_dir):
-    html = F.concat(F.lit("<table><tr><th>h</th></tr><tr><td>"), F.col("page_id").cast("string"), F.lit("</td></tr></table>"))
+    """Whole pages (which have no table of their own) with none, one or two put before them."""
+    one = F.concat(F.lit("<table class='t'><tr><th>h</th></tr><tr><td><b>"), F.col("page_id").cast("string"), F.lit("</b></td><td> x\n y<script>no</script></td></tr></table>"))
+    two = F.lit("<TABLE><tbody><TR><TD>second</TABLE>")
+    more = F.when(F.col("page_id") % 3 == 1, one).when(F.col("page_id") % 3 == 2, F.concat(one, F.lit("<p>between</p>"), two)).otherwise("")
+    html = F.concat(more, F.coalesce("html", F.lit("")))
     return tasks.page_tables(table(spark, sf_dir, "pages").select("page_id", html.alias("html"))).select("page_id", "markdown")
 
 
@@ -212,9 +218,20 @@ def random_actions(spark, sf_dir):
     return p.random_actions(table(spark, sf_dir, "events").select(F.col("user_id").alias("agent_id"), F.col("event_id").alias("round")), "agent_id", "round")
 
 
-@query()
+@query("""
+WITH h AS (SELECT c_custkey, sha1(unhex('6ba7b8109dad11d180b400c04fd430c8') || c_custkey::VARCHAR::BLOB) AS h FROM customer)
+SELECT c_custkey, h[1:8] || '-' || h[9:12] || '-5' || h[14:16] || '-' || '89ab'[(strpos('0123456789abcdef', h[17]) - 1) % 4 + 1] || h[18:20] || '-' || h[21:32] AS id FROM h
+""")
 def stable_ids(spark, sf_dir):
-    return table(spark, sf_dir, "customer").select("c_custkey", sinks.stable_id("customer", F.col("c_custkey").cast("string")).alias("id"))
+    return table(spark, sf_dir, "customer").select("c_custkey", sinks.stable_id(F.col("c_custkey")).alias("id"))
+
+
+@query("SELECT c_custkey + 1 AS id, c_name AS title, (c_custkey % 5)::INT AS karma FROM customer")
+def board_inserts(spark, sf_dir):
+    """A board of the first half of the customers, and the rest as new posts without ids of their own."""
+    posts = table(spark, sf_dir, "customer").select((F.col("c_custkey") + 1).alias("id"), F.col("c_name").alias("title"), (F.col("c_custkey") % 5).cast("int").alias("karma"))
+    half = posts.count() // 2
+    return r.board_insert(posts.where(F.col("id") <= half), posts.where(F.col("id") > half).withColumn("id", F.lit(-1)), "title")
 
 
 @query()

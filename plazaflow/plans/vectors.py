@@ -48,16 +48,24 @@ def knn_euclidean(spark, sf_dir):
 
 @query("""
 WITH q AS (SELECT embedding FROM embeddings WHERE vec_id = 0),
-c AS (SELECT d.text[1:300] AS text, d.source AS knowledge_id, d.doc_id, list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) AS s FROM embeddings e JOIN documents d ON d.doc_id = e.vec_id, q),
-b AS (SELECT *, row_number() OVER (PARTITION BY text ORDER BY s DESC, doc_id) AS k FROM c WHERE s >= 0.05)
-SELECT b.knowledge_id, md5(text) AS chunk_md5, round(s, 6) AS similarity, o.n AS object_chars FROM b JOIN (SELECT source, sum(n_chars)::BIGINT AS n FROM documents GROUP BY 1) o ON o.source = b.knowledge_id WHERE k = 1 ORDER BY s DESC, text LIMIT 15
+h AS (SELECT doc_id, text AS content, length(text) AS n, length(text) // 2 AS m FROM documents),
+c AS (SELECT doc_id, left(content, m) AS text, 0 AS a, m AS b FROM h UNION ALL SELECT doc_id, substring(content, m + 1), m, n FROM h),
+s AS (SELECT c.*, list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]) AS s FROM embeddings e JOIN c ON c.doc_id = e.vec_id, q),
+b AS (SELECT *, row_number() OVER (PARTITION BY text ORDER BY s DESC, a) AS k FROM s WHERE s >= 0.05),
+t AS (SELECT * FROM b WHERE k = 1 ORDER BY s DESC, text LIMIT 15),
+o AS (SELECT t.*, content, n, greatest(a - 200, 0) AS x, least(b + 200, n) AS y FROM t JOIN h USING (doc_id))
+SELECT doc_id::VARCHAR AS knowledge_id, md5(text) AS chunk_md5, a::INT AS start_pos, round(s, 6) AS similarity, md5(CASE WHEN x > 0 THEN '...' ELSE '' END || substring(content, x + 1, y - x) || CASE WHEN y < n THEN '...' ELSE '' END) AS context_md5 FROM o
 """)
 def knowledge_search_distinct(spark, sf_dir):
+    """Documents as objects, their halves as chunks with true places; the context is cut from the whole document."""
     e, d = table(spark, sf_dir, "embeddings"), table(spark, sf_dir, "documents")
     q = e.where("vec_id = 0").first().embedding
-    chunks = e.join(d, e.vec_id == d.doc_id).select(F.col("source").alias("knowledge_id"), F.left("text", F.lit(300)).alias("text"), F.col("doc_id").cast("int").alias("start_pos"), (F.col("doc_id") + 10).cast("int").alias("end_pos"), "embedding")
-    objects = d.groupBy(F.col("source").alias("knowledge_id")).agg(F.sum("n_chars").alias("object_chars"), F.lit("").alias("content"))
-    return v.search_knowledge(chunks, objects, q, 15, 0.05).select("knowledge_id", F.md5("text").alias("chunk_md5"), F.round("similarity", 6).alias("similarity"), "object_chars")
+    n, half = F.length("text"), F.floor(F.length("text") / 2).cast("int")
+    chunk = lambda a, b: F.struct(F.substring(F.col("text"), a + 1, b - a).alias("text"), a.cast("int").alias("start_pos"), b.cast("int").alias("end_pos"))
+    cut = d.select(F.col("doc_id"), F.col("doc_id").cast("string").alias("knowledge_id"), F.explode(F.array(chunk(F.lit(0), half), chunk(half, n))).alias("c")).select("doc_id", "knowledge_id", "c.*")
+    chunks = cut.join(e.select(F.col("vec_id").alias("doc_id"), "embedding"), "doc_id")
+    objects = d.select(F.col("doc_id").cast("string").alias("knowledge_id"), F.col("text").alias("content"))
+    return v.search_knowledge(chunks, objects, q, 15, 0.05).select("knowledge_id", F.md5("text").alias("chunk_md5"), "start_pos", F.round("similarity", 6).alias("similarity"), F.md5("context").alias("context_md5"))
 
 
 @query("""

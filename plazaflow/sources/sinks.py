@@ -65,10 +65,17 @@ def traces(steps: DataFrame, key: str, at: str, columns: list[str]) -> DataFrame
     return steps.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(at, *columns))).alias("steps"))
 
 
-def stable_id(namespace: str, *parts: Column) -> Column:
-    """A UUID-shaped id that depends on its parts alone."""
-    h = F.sha1(F.concat_ws("\u0001", F.lit(namespace), *parts))
-    return F.concat_ws("-", *(F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))))
+#: Fixed value: the namespace of names that are DNS names, as the standard gives it.
+NAMESPACE = "6ba7b810-9dad-11d1-80b4-00c04fd430c8"
+
+
+def stable_id(name: Column, namespace: str = NAMESPACE) -> Column:
+    """The version 5 UUID of a name: the same for the same name, on any executor. A name that is such an id already stays."""
+    text = name.cast("string")
+    h = F.sha1(F.concat(F.unhex(F.lit(namespace.replace("-", ""))), text.cast("binary")))
+    variant = F.substring(F.lit("89ab"), F.conv(F.substring(h, 17, 1), 16, 10).cast("int") % 4 + 1, F.lit(1))
+    made = F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(variant, F.substring(h, 18, 3)), F.substring(h, 21, 12))
+    return F.when(F.regexp_like(text, F.lit("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")), text).otherwise(made)
 
 
 def iso_metadata(df: DataFrame, columns: list[str]) -> Column:

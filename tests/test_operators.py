@@ -30,12 +30,12 @@ def greedy(rows):
     return sorted(out)
 
 
-@pytest.mark.parametrize("slot", [1, 64, 10_000])
-def test_quantity_matching_equals_the_greedy_book(spark, slot):
-    rows = book(slot)
+@pytest.mark.parametrize("n", [1, 64, 300])
+def test_quantity_matching_equals_the_greedy_book(spark, n):
+    rows = book(n)
     df = spark.createDataFrame(rows, "market int, agent_id string, side string, price double, quantity long")
     orders = market.valid_orders(df)
-    trades = market.match_quantities(orders, ["market"], slot=slot)
+    trades = market.match_quantities(orders, ["market"])
     assert sorted(tuple(r)[:5] for r in trades.collect()) == greedy(rows)
     left = market.residual_orders(orders, trades, ["market"]).agg(F.sum("quantity")).first()[0]
     assert left + 2 * sum(t[3] for t in greedy(rows)) == sum(r[4] for r in rows if r[2] != "hold")
@@ -43,6 +43,34 @@ def test_quantity_matching_equals_the_greedy_book(spark, slot):
     assert numbered.groupBy("market").agg((F.max("trade_id") == F.count(F.lit(1))).alias("ok")).where("NOT ok").count() == 0
 
 
+def test_matching_of_fractions_and_huge_quantities(spark):
+    schema = "market int, agent_id string, side string, price double, quantity double"
+    rows = [(1, "b1", "buy", 5.0, 63.5), (1, "b2", "buy", 4.0, 1.0), (1, "s1", "sell", 3.0, 64.2), (1, "s2", "sell", 3.5, 0.3), (2, "b", "buy", 2.0, 1e15), (2, "s", "sell", 1.0, 1e15 + 2)]
+    got = {(r.buyer_id, r.seller_id): r.quantity for r in market.match_quantities(spark.createDataFrame(rows, schema), ["market"]).collect()}
+    assert {k: round(v, 9) for k, v in got.items()} == {("b1", "s1"): 63.5, ("b2", "s1"): 0.7, ("b2", "s2"): 0.3, ("b", "s"): 1e15}
+    # eighths are exact in doubles, so the greedy book gives the same trades
+    rng = random.Random(9)
+    rows = [(m, f"a{i}", rng.choice(["buy", "sell"]), float(rng.randint(1, 12)), rng.randint(1, 999) / 8) for m in range(4) for i in range(80)]
+    got = market.match_quantities(spark.createDataFrame(rows, schema), ["market"]).collect()
+    assert sorted(tuple(r)[:5] for r in got) == greedy(rows)
+    whole = [(1, "b", "buy", 2.0, 10**15), (1, "s", "sell", 1.0, 10**15)]
+    assert market.match_quantities(spark.createDataFrame(whole, schema.replace("quantity double", "quantity long")), ["market"]).first().quantity == 10**15
+
+
+def test_contained_pairs_match_all_pairs(spark, monkeypatch):
+    rng = random.Random(2)
+    rows = [(i, "".join(rng.choices("ab ", k=rng.randint(0, 8)))) for i in range(60)] + [(97, None), (98, " AbA "), (99, "x\0y")]
+    items = [(i, "".join(rng.choices("AB ", k=rng.randint(0, 5)))) for i in range(40)] + [(97, None), (98, "aba"), (99, "aba")]
+    plain = lambda t: (t or "").strip().lower()
+    want = sorted((i, j) for i, a in rows for j, b in items if plain(a) and plain(b) and (plain(a) in plain(b) or plain(b) in plain(a)))
+    for block in (20_000, 7):
+        monkeypatch.setattr(matching, "BLOCK", block)
+        got = matching.contained_pairs(spark.createDataFrame(rows, "doc long, text string"), spark.createDataFrame(items, "item long, expected string"), "doc", "text", "item", "expected")
+        assert sorted(tuple(r) for r in got.collect()) == want
+    plan = got._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_book_over_rounds_carries_orders(spark):
     rows = [("m", 1, "b1", "buy", 5.0, 3), ("m", 2, "s1", "sell", 4.0, 5), ("m", 3, "b2", "buy", 4.0, 2), ("m", 3, "h", "hold", 0.0, 0)]
     df = spark.createDataFrame(rows, "market string, round long, agent_id string, side string, price double, quantity long")

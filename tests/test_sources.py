@@ -2,6 +2,8 @@
 
 import json
 
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,5 +80,5 @@ def test_sinks(spark, tmp_path):
     assert chunks.join(objects, "knowledge_id").count() == chunks.count() > 1
     t = spark.createDataFrame([("t", [0.5], [("user", "q", None), ("assistant", "a", "c")])], "task_id string, step_rewards array<double>, turns array<struct<role:string,content:string,code:string>>")
     assert [r.reward for r in sinks.exploded_turns(t).orderBy("turn").collect()] == [0.5, 0.0]
-    a, b = (df.select(sinks.stable_id("ns", F.col("i").cast("string")).alias("u")).orderBy("u").collect() for _ in range(2))
-    assert a == b and len(a[0].u) == 36
+    made = spark.createDataFrame([("agent",), ("7",), ("ü",), (str(uuid.uuid4()),)], "n string").select("n", sinks.stable_id(F.col("n")).alias("u")).collect()
+    assert all(r.u == (r.n if len(r.n) == 36 else str(uuid.uuid5(uuid.NAMESPACE_DNS, r.n))) for r in made)
