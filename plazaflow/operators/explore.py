@@ -119,3 +119,23 @@ def budget_prefix(df: DataFrame, groups: list[str], order: str, cost: Column, bu
     """The first rows of each group whose running cost stays within the budget."""
     w = W.partitionBy(*groups).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
     return df.withColumn("running_cost", F.sum(cost).over(w)).where(F.col("running_cost") <= budget)
+
+
+#: Distinct values of a JSON column that are looked at.
+SAMPLE = 100
+
+
+def catalogue(df: DataFrame, json_columns: list[str]) -> DataFrame:
+    """(column_name, type, nullable, parent): the columns, and for JSON columns the leaves of up to ``SAMPLE`` distinct values, those that sort first.
+
+    Where values disagree on a leaf's type, the value that sorts last wins. Values that are no JSON give no leaves.
+    """
+    from ..functions.parsing import json_leaves_col
+
+    rows = [(f.name, f.dataType.simpleString(), f.nullable, None) for f in df.schema]
+    out = df.sparkSession.createDataFrame(rows, "column_name string, type string, nullable boolean, parent string")
+    for c in json_columns:
+        values = df.select(F.col(c).alias("v")).where("v IS NOT NULL").distinct().orderBy("v").limit(SAMPLE)
+        leaves = values.select("v", F.explode(json_leaves_col(F.col("v"))).alias("l")).groupBy("l.path").agg(F.max_by("l.type", "v").alias("type"))
+        out = out.unionByName(leaves.select(F.concat(F.lit(f"{c}."), "path").alias("column_name"), "type", F.lit(True).alias("nullable"), F.lit(c).alias("parent")))
+    return out

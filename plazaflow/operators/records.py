@@ -154,10 +154,11 @@ def merged_sources(sources: dict[str, DataFrame]) -> DataFrame:
 
 
 def packed_documents(df: DataFrame, groups: list[str], order: str, text: str, most_chars: int) -> DataFrame:
-    """Documents of each group joined while they fit; the first that doesn't ends the pack."""
+    """Documents of each group joined while they fit; the first that doesn't ends the pack. ``order`` tells documents apart; only lengths are sorted, and texts meet the few that are kept."""
     from .explore import budget_prefix
 
-    kept = budget_prefix(df, groups, order, F.length(text), most_chars)
+    kept = budget_prefix(df.select(*groups, order, F.length(text).alias("own size")), groups, order, F.col("own size"), most_chars).select(*groups, order)
+    kept = df.select(*groups, order, text).join(kept, [*groups, order], "left_semi")
     return kept.groupBy(*groups).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(order, text))), lambda x: x[text]), "\n\n").alias("packed"), F.count(F.lit(1)).alias("documents"))
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import curation, evaluation, market, records, registry, vectors
+from . import curation, evaluation, forms, market, records, registry, storage, vectors
 
-__all__ = ["FLAGSHIP", "QUERIES", "SQL", "curation", "evaluation", "market", "records", "vectors"]
+__all__ = ["FLAGSHIP", "QUERIES", "SQL", "curation", "evaluation", "forms", "market", "records", "storage", "vectors"]
 
 QUERIES = registry.QUERIES
 SQL = registry.SQL

@@ -18,11 +18,16 @@ def write_json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    """A CSV with a header; quotes in fields are doubled, and line breaks stay."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+
+
 def append(df: DataFrame, name: str, database: str = "default") -> None:
-    """Appends to a canonical table, creating it if needed; columns are brought into its form."""
+    """Appends to a canonical table, creating it if needed; columns are brought into its form and meet by name (partition columns stand last in a table)."""
     spark = df.sparkSession
     schemas.create(spark, name, database)
-    schemas.conform(df, name).write.mode("append").insertInto(f"{database}.{name}")
+    schemas.conform(df, name).select(*(F.col(f"`{c}`") for c in spark.table(f"{database}.{name}").columns)).write.mode("append").insertInto(f"{database}.{name}")
 
 
 def upsert(existing: DataFrame, new: DataFrame, keys: list[str], sequence: str, tie: str) -> DataFrame:

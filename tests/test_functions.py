@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from plazaflow.functions import parsing
 from plazaflow.functions import parsing as p
 from plazaflow.functions import rewards as r
 from plazaflow.functions import text as t
@@ -62,7 +63,7 @@ def test_degeneracy(spark):
     assert values(spark, ["<think>" + "q w e r t " * 9 + "</think>fine", "q w e r t " * 9, "k " * 80, None], t.degenerate(x)) == [False, True, True, False]
     assert values(spark, ["k " * 80, "a b c", "k " * 30 + "z " * 10], t.token_loop(x)) == [True, False, True]
     assert values(spark, ["ab" + "!" * 40, "ab   ", "", None], t.trailing_run(x)) == [40, 0, 0, 0]
-    assert values(spark, ["go GO go stop", ""], t.word_run(x)) == [3, 0]
+    assert values(spark, ["go go go stop", "go GO go", ""], t.word_run(x)) == [3, 1, 0]
 
 
 def test_pair_errors(spark):
@@ -119,3 +120,58 @@ def test_rewards(spark):
     assert [tuple(x) for x in got] == [(1.25, pytest.approx(1.3), [0.5, 1.0]), (-0.25, -0.5, [-0.5]), (0.25, -0.5, [1.0])]
     assert df.select(r.upper_median(F.array(F.lit(3.0), F.lit(1.0), F.lit(2.0), F.lit(4.0)))).first()[0] == 3.0
     assert df.select(r.composite(F.lit(None).cast("double"), F.lit(1.0)), r.squashed(F.lit(-3.0), F.lit(1.0)), r.backoff(1.0, 2.0, F.lit(3), most=5.0)).first() == (0.4, 0.5, 5)
+
+
+def test_token_budgets_match_the_tokenizer(spark):
+    import json
+
+    from plazaflow.functions import tokens
+
+    v = tokens.installed()
+    if v is None:
+        pytest.skip("no vocabulary is installed")
+    e = tokens.encoding(v)
+    texts = ["", "a few plain words, and 123 numbers", "日本語 🦊 ü" * 5, " \n" * 30, "x" * 500, None]
+    df = spark.createDataFrame([(k, x) for k, x in enumerate(texts)], "k int, x string")
+    got = df.select("k", tokens.count_col(F.col("x"), v).alias("n"), tokens.truncate_col(F.col("x"), 7, v).alias("cut"), tokens.embedding_input(F.col("x"), 1003, v).alias("input")).orderBy("k").collect()
+    for r, x in zip(got, texts, strict=True):
+        ids = e.encode_ordinary(x or "")
+        assert (r.n, r.cut, r.input) == (len(ids), e.decode(ids[:7]), e.decode(ids[:3]))
+    n = lambda x: len(e.encode_ordinary(x))
+    calls = [{"id": "1"}]
+    chat = {"messages": [{"role": "user", "content": "hello there", "name": "bob"}, {"role": "assistant", "content": "", "tool_calls": calls}], "n": 2, "max_tokens": 30}
+    assert tokens.request(json.dumps(chat), "chat", v) == 4 + n("user") + n("hello there") + n("bob") - 1 + 4 + n("assistant") + n(json.dumps(calls)) + 2 + 60
+    assert tokens.request(json.dumps({"prompt": ["a b", "c"], "n": 3}), "completions", v) == n("a b") + n("c") + 2 * 45
+    assert tokens.request(json.dumps({"input": "some input"}), "embeddings", v) == n("some input")
+    assert tokens.request(json.dumps({"messages": [{"content": "x y"}, {"content": [{"text": "z"}, {"image": 1}]}], "max_tokens": 9}), "messages", v) == n("x y") + n("z") + 9
+    with pytest.raises(ValueError):
+        tokens.request("{}", "images", v)
+
+
+def test_chunks_by_plain_packing():
+    """Runs of segments, packed one after the other."""
+    import random
+
+    rng = random.Random(3)
+    for _ in range(60):
+        text = "".join(rng.choice(["Word one", " and more", ". Next", ".\n\nPara", "!  So", "\n\n- item", "\n\n2. two", "\nHEAD: \n", "\n\n\n\n", " x" * 20]) for _ in range(rng.randint(0, 40)))
+        least, most = rng.choice([(20, 60), (50, 60), (1, 1), (60, 20), (200, 1000)])
+        parts = [s for s in map(str.strip, parsing._CUT.split(parsing.re.sub(r"\n{3,}", "\n\n", text).strip())) if s]
+        want, run, before, at = [], [], 0, 0
+        for k, s in enumerate([*parts, None]):
+            size = sum(map(len, run))
+            if run and (s is None or size >= least or size + len(s) > most):
+                joined = "\n\n".join(run)
+                want.append((joined, at, at + len(joined)))
+                at, run = before, []
+            if s is not None:
+                run.append(s)
+                before += len(s) + 2
+        assert [(c["text"], c["start_pos"], c["end_pos"]) for c in parsing.semantic_chunks(text, least, most)] == want, (text, least, most)
+
+
+def test_boxes_and_balanced_parts():
+    assert parsing.boxed_all(r"\boxed{a and \boxed{b}") == ["b"]
+    assert parsing.boxed_all(r"\boxed{n \boxed {b}} \boxed x \boxed{\}}") == [r"n \boxed {b}", "b", r"\}"]
+    assert parsing.first_balanced('x {"a": "}"} [1]') == '{"a": "}"}' and parsing.first_balanced("{ [1, 2] {") == "[1, 2]" and parsing.first_balanced("{[" * 50_000) is None
+    assert parsing.split_pages("x" * 2000, 1000, 150)[-1] == {"text": "x" * 300, "start_pos": 1700, "end_pos": 2000} and parsing.split_pages("") == []
