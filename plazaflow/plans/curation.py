@@ -129,10 +129,12 @@ def parallel_vs_sequential(spark, sf_dir):
 
 
 @query("""
-SELECT conv_id, count(*) AS repeats FROM (SELECT conv_id, role, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS p FROM conversations) WHERE role = 'user' AND p = 'user' GROUP BY 1
+SELECT conv_id, count(*) AS repeats FROM (SELECT conv_id, role, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS p FROM (SELECT conv_id, turn, CASE WHEN turn = 1 AND conv_id % 3 = 0 THEN 'user' ELSE role END AS role FROM conversations)) WHERE role = 'user' AND p = 'user' GROUP BY 1
 """)
 def conversation_flow(spark, sf_dir):
-    return c.flow_errors(table(spark, sf_dir, "conversations"))
+    """Every third conversation has its second turn given to the user."""
+    role = F.when((F.col("turn") == 1) & (F.col("conv_id") % 3 == 0), "user").otherwise(F.col("role"))
+    return c.flow_errors(table(spark, sf_dir, "conversations").withColumn("role", role))
 
 
 @query("SELECT conv_id, turn, lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS parent_turn FROM conversations")
@@ -349,11 +351,6 @@ def fuzzy_distinct(spark, sf_dir):
     return matching.greedy_distinct(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size"), "p_name", "p_partkey")
 
 
-@query("SELECT event_id, 'k' AS path, 'integer' AS type FROM events WHERE props IS NOT NULL")
-def json_leaf_types(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", F.explode(parsing.json_leaves_col(F.col("props"))).alias("l")).select("event_id", "l.*")
-
-
 @query("SELECT p_partkey, (p_size * 2 + 1.5) / 3 AS value FROM part")
 def calculator(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", parsing.calculate_col(F.concat(F.lit("("), F.col("p_size").cast("string"), F.lit(" * 2 + 1.5) / 3"))).alias("value"))

@@ -120,12 +120,6 @@ def turn_labels(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", r.level_label(F.col("turn")).alias("label"), r.target_level(F.array(*map(F.lit, ("recall", "apply", "create"))), F.col("turn")).alias("level"))
 
 
-@query("SELECT p_partkey, (p_size * 1000)::DOUBLE AS thousands, p_size::DOUBLE AS plain, p_size::BIGINT AS whole FROM part")
-def number_coercion(spark, sf_dir):
-    s = F.col("p_size").cast("string")
-    return table(spark, sf_dir, "part").select("p_partkey", t.suffixed_number(F.concat(F.lit("$"), s, F.lit("K"))).alias("thousands"), t.number_of(F.concat(s, F.lit(" kg"))).alias("plain"), t.coerce_int(F.concat(F.lit(" "), s)).alias("whole"))
-
-
 @query("SELECT user_id, max(ts) AS last_seen FROM events GROUP BY 1 HAVING max(ts) < (SELECT max(ts) FROM events) - INTERVAL '1 hour'")
 def idle_sessions(spark, sf_dir):
     e = table(spark, sf_dir, "events")
@@ -154,15 +148,25 @@ def reward_append(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.array_join(rw.appended(steps, F.lit(1.0)).cast("array<string>"), ",").alias("steps"))
 
 
-@query("SELECT event_id, event_type AS content, event_id AS prompt_tokens FROM events")
+@query("""
+SELECT event_id, CASE k WHEN 0 THEN event_type WHEN 1 THEN 'first' || event_type END AS content, CASE k WHEN 0 THEN event_id WHEN 1 THEN 3 END AS prompt_tokens, CASE k WHEN 0 THEN 'f{"a":1}' WHEN 1 THEN 'g{"b":[2]}' ELSE '' END AS calls, CASE k WHEN 2 THEN 'too many' WHEN 3 THEN 'not parsable' END AS error FROM (SELECT *, event_id % 4 AS k FROM events)
+""")
 def completions(spark, sf_dir):
-    body = F.concat(F.lit('{"model": "m", "choices": [{"message": {"content": "'), F.col("event_type"), F.lit('"}}], "usage": {"prompt_tokens": '), F.col("event_id").cast("string"), F.lit("}}"))
-    return table(spark, sf_dir, "events").select("event_id", replies.completion_col(body).alias("c")).select("event_id", "c.content", F.col("c.usage")["prompt_tokens"].alias("prompt_tokens"))
+    """Answers in two providers' forms, one that is an error, and one that is cut off."""
+    k, n, kind = F.col("event_id") % 4, F.col("event_id").cast("string"), F.col("event_type")
+    chat = F.concat(F.lit('{"model": "m", "choices": [{"message": {"content": "'), kind, F.lit('", "tool_calls": [{"function": {"name": "f", "arguments": "{\\"a\\":1}"}}]}}], "usage": {"prompt_tokens": '), n, F.lit("}}"))
+    blocks = F.concat(F.lit('{"content": [{"type": "text", "text": "first"}, {"type": "text", "text": "'), kind, F.lit('"}, {"type": "tool_use", "name": "g", "input": {"b": [2]}}], "usage": {"input_tokens": 3, "output_tokens": 1}}'))
+    body = F.when(k == 0, chat).when(k == 1, blocks).when(k == 2, '{"error": {"message": "too many"}}').otherwise(F.substring(chat, 1, 30))
+    got = table(spark, sf_dir, "events").select("event_id", replies.completion_col(body).alias("c"))
+    calls = F.array_join(F.transform("c.calls", lambda x: F.concat(x["name"], x["arguments"])), ";")
+    return got.select("event_id", "c.content", F.col("c.usage")["prompt_tokens"].alias("prompt_tokens"), calls.alias("calls"), "c.error")
 
 
-@query("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'correct' ELSE 'unclear' END AS verdict, CASE WHEN event_id % 2 = 0 THEN 0.25 ELSE 0.0 END::DOUBLE AS score FROM events")
+@query("SELECT event_id, CASE WHEN k = 0 THEN 'correct' WHEN k = 1 THEN 'wrong' ELSE 'unclear' END AS verdict, CASE WHEN k = 0 THEN 0.25 WHEN k = 1 THEN 1.0 ELSE 0.0 END::DOUBLE AS score FROM (SELECT event_id, event_id % 5 AS k FROM events)")
 def verdicts(spark, sf_dir):
-    text = F.when(F.expr("event_id % 2 = 0"), F.lit('so: ```json\n{"verdict": "Correct", "score": 0.25}\n```')).otherwise("no verdict")
+    """A fenced verdict, a literal within text, none, a list, and a score that is no number."""
+    k = F.col("event_id") % 5
+    text = F.when(k == 0, 'so: ```json\n{"verdict": "Correct", "score": 0.25}\n```').when(k == 1, "I say {'verdict': 'WRONG', 'score': '1'} and no more").when(k == 2, "no verdict").when(k == 3, '["verdict"]').otherwise('{"verdict": "correct", "score": "high"}')
     return table(spark, sf_dir, "events").select("event_id", replies.verdict_col(text).alias("v")).select("event_id", "v.verdict", "v.score")
 
 
