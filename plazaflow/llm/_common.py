@@ -20,10 +20,12 @@ SLICE_BYTES = 1 << 20
 BATCH_BYTES = 8 << 20
 
 _resident: dict = {}
+_asked = [0]
 
 
 def resident(kind: str, source, build: Callable):
     """What a Python worker keeps between tasks, built from ``source``: one thing at a time, so that a pipeline's stages don't pile up models in it."""
+    _asked[0] += 1
     if _resident.get("kind") != kind or not (_resident["source"] is source or isinstance(source, (str, tuple)) and _resident["source"] == source):
         _resident.clear()
         _resident.update(kind=kind, source=source, built=build())
@@ -114,7 +116,11 @@ def map_text(df: DataFrame, columns: list[str], make: Callable[[], Callable[[dic
     target, through = arrow_schema(schema), set(through)
 
     def run(batches):
+        before = _asked[0]
         work = make()
+        if _asked[0] == before:
+            # a stage without a model lets go of the one before
+            _resident.clear()
         for part in slices(batches, f"c{columns.index(text)}"):
             own = dict(zip(columns, part.columns, strict=True))
             with uncollected():
