@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import curation, evaluation, forms, market, records, registry, scalars, storage, vectors
+from . import curation, evaluation, forms, market, points, records, registry, scalars, storage, vectors
 
-__all__ = ["FLAGSHIP", "QUERIES", "SQL", "curation", "evaluation", "forms", "market", "records", "scalars", "storage", "vectors"]
+__all__ = ["FLAGSHIP", "QUERIES", "SQL", "curation", "evaluation", "forms", "market", "points", "records", "scalars", "storage", "vectors"]
 
 QUERIES = registry.QUERIES
 SQL = registry.SQL
