@@ -212,15 +212,3 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text"
 
 def report(found: DataFrame, id_column: str = "doc_id") -> DataFrame:
     return found.select(id_column, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
-
-
-def keep_one(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of which none with a smaller id is in their component; all columns stay. Rows that repeat an id count once; rows without id count once for each text."""
-    found = near_duplicates(df.where(F.col(id_column).isNotNull()), id_column, text)
-    stay = found.where(F.col(id_column) == F.col("component_id")).groupBy(id_column).agg(F.count(F.lit(1)).alias("rows"))
-    stay = Scratch(df.sparkSession).keep(stay, "stay")
-    kept = df.join(stay.select(id_column).hint("shuffle_hash"), id_column, "left_semi")
-    if not stay.where("rows > 1").isEmpty():
-        kept = kept.dropDuplicates([id_column])
-    nameless = df.where(F.col(id_column).isNull())
-    return kept if nameless.isEmpty() else kept.unionByName(nameless.dropDuplicates([text]))

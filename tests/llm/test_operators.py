@@ -15,7 +15,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from plazaflow.llm import _common, components, decontaminate, language, media, pieces, secrets, simhash, substring_dedup, suffix_tree, token_counts, urls
+from plazaflow.llm import _common, components, decontaminate, language, media, near_copies, pieces, secrets, simhash, substring_dedup, suffix_tree, token_counts, urls
 from plazaflow.llm.scratch import Scratch
 
 from . import corpus
@@ -658,14 +658,6 @@ def test_components_of_a_long_chain(spark):
     assert got == {**{i: 0 for i in range(201)}, 500: 500, 501: 500}
 
 
-def test_keep_one_keeps_a_row_of_each_group(docs, rows):
-    out = simhash.keep_one(docs)
-    assert out.columns == docs.columns
-    ids = [r.doc_id for r in out.collect()]
-    members = simhash.near_duplicates(docs.where("doc_id IS NOT NULL")).collect()
-    assert sorted(i for i in ids if i is not None) == sorted({r.component_id for r in members}) and ids.count(None) == 1
-
-
 # ---- all
 
 
@@ -674,7 +666,7 @@ def test_pipeline_stages_keep_clashing_and_odd_columns(spark, docs):
 
     names = ("n_words", "hits", "items", "lang_pred", "n_tokens", "component_id", "when", "deep", "odd name")
     wide = docs.withColumns({n: F.lit(n) for n in names[:6]} | {"when": F.lit("2024-01-02 03:04:05").cast("timestamp"), "deep": F.array(F.struct(F.lit(1).alias("a"), F.create_map(F.lit("k"), F.lit(1.5)).alias("m"))), "odd name": F.lit(None).cast("decimal(9,2)")})
-    for stage in (language.keep_identified, simhash.keep_one, lambda d: decontaminate.decontaminate(d, corpus.benchmark(spark)), secrets.redact):
+    for stage in (language.keep_identified, near_copies.keep_one, lambda d: decontaminate.decontaminate(d, corpus.benchmark(spark)), secrets.redact):
         out = stage(wide)
         assert out.columns == wide.columns and out.dtypes == wide.dtypes
         row = out.where("doc_id = 3").first()
@@ -717,7 +709,7 @@ def test_empty_tables(spark):
     for df in (
         secrets.report(secrets.secret_spans(none)), media.media_features(media.store_text(none)), language.report(none), token_counts.report(token_counts.count_tokens(none)), pieces.digest(none),
         substring_dedup.report(substring_dedup.remove_repeats(none)), suffix_tree.score(none), urls.judge(pages), decontaminate.report(decontaminate.overlaps(none, corpus.benchmark(spark))),
-        simhash.report(simhash.near_duplicates(none)), simhash.keep_one(none),
+        simhash.report(simhash.near_duplicates(none)), near_copies.keep_one(none),
     ):
         assert df.collect() == []
     no_items = corpus.benchmark(spark).limit(0)
