@@ -42,8 +42,9 @@ FOLDS = 10
 #: Pseudo-counts of the base.
 _ADD = 0.1
 _END = b"\n"
-#: Symbols that are handled at once.
+#: Symbols, and texts, that are handled at once; a text's place in its run has the 16 bits that a gram leaves free.
 _RUN = 1 << 22
+_RUN_TEXTS = 1 << 16
 #: The end as a token among hashes of words.
 _END_HASH = np.uint64(0x9E3779B97F4A7C15)
 
@@ -53,31 +54,43 @@ def tokens_of(text: str | None) -> list[bytes]:
 
 
 def grams_of(texts: list[bytes]) -> tuple[Iterator[np.ndarray], np.ndarray]:
-    """Each symbol of these texts (words one space apart) with the DEPTH bytes before it, packed, in runs of ``_RUN``; and where each text's begin."""
+    """Each symbol of these texts (words one space apart) with the DEPTH bytes before it, packed, in runs of ``_RUN`` symbols and
+    ``_RUN_TEXTS`` texts at most; and where each text's begin."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
     # a text's end is the first of the line feeds before the next
     stream = np.frombuffer(_END * DEPTH + (_END * DEPTH).join(texts) + _END, np.uint8)
     starts, total = np.cumsum(sizes) - sizes, int(sizes.sum())
 
     def runs():
-        for a in range(0, total, _RUN):
-            b = min(total, a + _RUN)
-            first, last = int(np.searchsorted(starts, a, "right")) - 1, int(np.searchsorted(starts, b))
-            cuts = np.concatenate([[a], starts[first + 1 : last], [b]])
-            skipped = (DEPTH - 1) * np.arange(first, last)
-            piece = stream[a + skipped[0] : b + skipped[-1] + DEPTH].astype(np.uint64)
-            grams = piece[: len(piece) - DEPTH].copy()
-            for k in range(1, DEPTH + 1):
-                grams <<= np.uint64(8)
-                grams |= piece[k : len(piece) - DEPTH + k]
-            yield grams[np.arange(b - a) + np.repeat(skipped - skipped[0], np.diff(cuts))]
+        b = 0
+        while b < total:
+            a = b
+            first = int(np.searchsorted(starts, a, "right")) - 1
+            b = min(a + _RUN, int(starts[first + _RUN_TEXTS]) if first + _RUN_TEXTS < len(starts) else total, total)
+            last = int(np.searchsorted(starts, b))
+            piece = stream[a + (DEPTH - 1) * first : b + (DEPTH - 1) * (last - 1) + DEPTH].astype(np.uint64)
+            # pairs of bytes, then four, then all six
+            two = (piece[:-1] << np.uint64(8)) | piece[1:]
+            grams = (two[:-2] << np.uint64(16)) | two[2:]
+            grams = (grams[:-2] << np.uint64(16)) | two[4:]
+            # what ends in the line feeds before a next text is none of its symbols
+            own = np.ones(len(grams), bool)
+            own[((starts[first + 1 : last] - a + (DEPTH - 1) * np.arange(last - first - 1))[:, None] + np.arange(DEPTH - 1)).ravel()] = False
+            yield grams[own]
 
     return runs(), starts
 
 
+def tally(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, sorted, and their numbers; sorts ``values`` in place."""
+    values.sort()
+    at = np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, np.int64)
+    return values[at], np.diff(np.append(at, len(values)))
+
+
 def distinct_grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct grams, sorted, and their numbers."""
-    parts = [np.unique(g, return_counts=True) for g in grams_of(texts)[0]]
+    parts = [tally(g) for g in grams_of(texts)[0]]
     if len(parts) == 1:
         return parts[0]
     return merged(parts)
@@ -175,44 +188,56 @@ def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
 class _Unit:
     """Distinct tokens and grams of a unit, sorted, and their buckets."""
 
-    def __init__(self, batch: pa.RecordBatch, buckets: int):
+    def __init__(self, batch: pa.RecordBatch, buckets: int, summed: bool = False):
         self.texts = [b" ".join(tokens_of(t)) for t in batch.column(2).to_pylist()]
         words = Words(self.texts)
         self.counts = words.counts
-        self.all = np.insert(words.hashes(), words.offsets[1:], _END_HASH)
-        self.tokens = np.unique(self.all)
+        codes, kinds = pd.factorize(np.insert(words.hashes(), words.offsets[1:], _END_HASH))
+        order = np.argsort(kinds)
+        self.tokens, place = kinds[order], np.empty(len(kinds), np.int64)
+        place[order] = np.arange(len(kinds))
+        #: Which of the distinct tokens stands where.
+        self.all = place[codes]
         runs, self.starts = grams_of(self.texts)
-        #: For each run of grams, which of its distinct ones stands where, and the places of these among the unit's.
-        self.places = []
+        #: With ``summed``, for each run: its first text; for each gram of a text the text's place and the number; the distinct grams and how many texts each is in.
+        self.places, found, at = [], [], 0
         for grams in runs:
-            codes, kinds = pd.factorize(grams)
-            self.places.append((codes.astype(np.int32), kinds))
-        found = np.sort(np.concatenate([np.zeros(0, np.uint64), *(kinds for _, kinds in self.places)]))
-        self.grams = found[np.append(True, found[1:] != found[:-1])] if len(self.places) > 1 else found
-        at = _bucket(self.tokens, buckets)
-        self.by_token = np.argsort(at, kind="stable")
-        self.token_bounds = np.searchsorted(at[self.by_token], np.arange(buckets + 1))
-        at = _bucket(mix(self.grams), buckets)
-        self.by_gram = np.argsort(at, kind="stable")
-        self.gram_bounds = np.searchsorted(at[self.by_gram], np.arange(buckets + 1))
+            size = len(grams)
+            if summed:
+                first = int(np.searchsorted(self.starts, at, "right")) - 1
+                cuts = np.concatenate([[at], self.starts[first + 1 : int(np.searchsorted(self.starts, at + size))], [at + size]])
+                grams <<= np.uint64(16)
+                grams |= np.repeat(np.arange(len(cuts) - 1, dtype=np.uint64), np.diff(cuts))
+                pairs, times = tally(grams)
+                own = pairs.astype(np.uint16)
+                pairs >>= np.uint64(16)
+                kinds, rows = tally(pairs)
+                self.places.append((first, own, times.astype(np.int32), kinds, rows))
+                found.append(kinds)
+            else:
+                found.append(tally(grams)[0])
+            at += size
+        self.grams = found[0] if len(found) == 1 else tally(np.concatenate([np.zeros(0, np.uint64), *found]))[0]
+        self.by_token, self.token_bounds = self._dealt(self.tokens, buckets)
+        self.by_gram, self.gram_bounds = self._dealt(mix(self.grams), buckets)
+
+    @staticmethod
+    def _dealt(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+        """The keys' places in the order of their buckets, and where each bucket's begin; few bits sort faster."""
+        at = _bucket(keys, buckets).astype(np.min_scalar_type(buckets))
+        return np.argsort(at, kind="stable"), np.append(0, np.cumsum(np.bincount(at, minlength=buckets)))
 
     def trained(self, marks: np.ndarray) -> np.ndarray:
         """How often each distinct token stands in rows with the mark."""
-        kinds, n = np.unique(self.all[np.repeat(marks, self.counts + 1)], return_counts=True)
-        out = np.zeros(len(self.tokens), np.uint32)
-        out[np.searchsorted(self.tokens, kinds)] = n
-        return out
+        return np.bincount(self.all[np.repeat(marks, self.counts + 1)], minlength=len(self.tokens)).astype(np.uint32)
 
     def sums(self, logs: np.ndarray) -> np.ndarray:
-        """For each text the sum of its grams' scores."""
-        out, at = np.zeros(len(self.starts)), 0
-        for codes, kinds in self.places:
-            own, order = np.empty(len(kinds)), np.argsort(kinds)
-            own[order] = logs[np.searchsorted(self.grams, kinds[order])]
-            first = int(np.searchsorted(self.starts, at, "right")) - 1
-            last = int(np.searchsorted(self.starts, at + len(codes)))
-            out[first:last] += np.add.reduceat(own[codes], np.maximum(self.starts[first:last] - at, 0))
-            at += len(codes)
+        """For each text the sum of its grams' scores, added in the order of the grams."""
+        out = np.zeros(len(self.starts))
+        for first, own, times, kinds, rows in self.places:
+            of = logs if len(self.places) == 1 else logs[np.searchsorted(self.grams, kinds)]
+            got = np.bincount(own, times * np.repeat(of.astype(np.float64), rows))
+            out[first : first + len(got)] += got
         return out
 
     def parts(self):
@@ -311,7 +336,7 @@ def score(df: DataFrame, id_column: str = "doc_id", text: str = "text", buckets:
         return {k: _block(unit.tokens[t], trained[t], unit.grams[g]) for k, t, g in unit.parts()}
 
     def finish(batch, answers):
-        unit = _Unit(batch, n)
+        unit = _Unit(batch, n, summed=True)
         counts, logs = np.zeros(len(unit.tokens), np.int64), np.zeros(len(unit.grams), np.float32)
         seen = 0
         for k, t, g in unit.parts():
@@ -324,9 +349,8 @@ def score(df: DataFrame, id_column: str = "doc_id", text: str = "text", buckets:
             raise ValueError("a unit met answers that it didn't ask for: its rows came in another order when read again")
         sizes = unit.counts + 1
         at = np.cumsum(sizes) - sizes
-        found = counts[np.searchsorted(unit.tokens, unit.all)]
-        part = np.add.reduceat(np.log10(found + _ADD), at)
-        known = np.add.reduceat((found > 0).astype(np.int64), at)
+        part = np.add.reduceat(np.log10(counts + _ADD)[unit.all], at)
+        known = np.add.reduceat((counts > 0).astype(np.int64)[unit.all], at)
         got = unit.sums(logs)
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(~np.asarray(batch.column(1))), pa.array(sizes), pa.array(known), pa.array(part), pa.array(got)], [id_column, "held_out", "n_tokens", "n_known", "part", "score"])
 

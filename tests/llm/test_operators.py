@@ -443,6 +443,26 @@ def test_lm_runs_cut_texts_anywhere(rows, monkeypatch):
     assert (np.concatenate(list(suffix_tree.grams_of(texts[:60])[0])) == whole[: sum(len(t) + 1 for t in texts[:60])]).all()
 
 
+def test_lm_units_sort_grams_and_hash_words_alone(rows, monkeypatch):
+    """Scores of texts are those of their symbols one by one, wherever runs end; no table of symbols is built for it."""
+    texts = [r.text for r in rows[:80]] + [None] * 5 + ["", "a", rows[0].text]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array([k % 3 > 0 for k in range(len(texts))]), pa.array(texts, pa.string())], ["doc_id", "trained", "text"])
+    hashed, real = [], suffix_tree.pd.factorize
+    monkeypatch.setattr(suffix_tree.pd, "factorize", lambda x, *a, **b: hashed.append(len(x)) or real(x, *a, **b))
+    own = [list(suffix_tree.grams_of([b" ".join(suffix_tree.tokens_of(t))])[0])[0] for t in texts]
+    for run, most in ((1 << 22, 1 << 16), (1000, 1 << 16), (1 << 22, 7), (50, 2)):
+        monkeypatch.setattr(suffix_tree, "_RUN", run)
+        monkeypatch.setattr(suffix_tree, "_RUN_TEXTS", most, raising=False)
+        hashed.clear()
+        unit = suffix_tree._Unit(batch, 5, summed=True)
+        assert sum(hashed) == sum(len(suffix_tree.tokens_of(t)) + 1 for t in texts)
+        assert (suffix_tree._Unit(batch, 5).grams == unit.grams).all()
+        assert (unit.grams == np.unique(np.concatenate(own))).all()
+        logs = -np.random.default_rng(2).random(len(unit.grams)).astype(np.float32)
+        want = [float(logs[np.searchsorted(unit.grams, g)].sum(dtype=np.float64)) for g in own]
+        assert np.allclose(unit.sums(logs), want, rtol=1e-12)
+
+
 def test_long_words_hash_alike(monkeypatch):
     texts = [b"a " + b"xyz" * 50 + b" bb", b"", b"xyz" * 50, b"a"]
     whole = _common.Words(texts).hashes()
