@@ -147,3 +147,13 @@ def test_extension_points(spark):
     assert embed(df, lambda ts: [[float(len(t))] for t in ts], "prompt").where("i = 1").first().embedding == [1.0]
     flow = Workflow(("one", lambda d: d.withColumn("error", F.when(F.col("i") == 2, "bad"))), ("two", lambda d: d.withColumn("out", F.col("i") * 10)))
     assert {x.i: (x.failed, x.out) for x in flow.run(df).collect()} == {1: (None, 10), 2: ("one", None)}
+
+
+def test_notebook_cuts_one_text(spark):
+    rows = [(1, 2, "b"), (1, 1, "ä"), (1, 3, None), (1, 4, "日本"), (None, 2, "y"), (None, 1, None), (2, 1, ""), (2, 2, "z"), (2, 2, "a")]
+    df = rounds.notebook(spark.createDataFrame(rows, "k int, at int, t string"), "k", "at", "t")
+    got = {(r.k, r.at, r.t): r.log for r in df.collect()}
+    assert got == {(1, 1, "ä"): "ä", (1, 2, "b"): "ä\nb", (1, 3, None): "ä\nb", (1, 4, "日本"): "ä\nb\n日本", (None, 1, None): None, (None, 2, "y"): "y", (2, 1, ""): "", (2, 2, "a"): "\na", (2, 2, "z"): "\na\nz"}
+    # no list of all cells so far at each cell
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in next(x for x in plan.splitlines() if "Window" in x)
