@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import heapq
+import itertools
+import math
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,42 +54,54 @@ TRADE = "market string, round long, buyer_id string, seller_id string, price dou
 BOOK = "side array<string>, agent array<string>, price array<double>, quantity array<long>"
 
 
-def _matched(book: pd.DataFrame) -> tuple[list[tuple], pd.DataFrame]:
-    """Trades of best bid against best ask while they cross, and what stays."""
-    bids = book[book.side == "buy"].sort_values(["price", "agent"], ascending=[False, True]).to_dict("records")
-    asks = book[book.side == "sell"].sort_values(["price", "agent"]).to_dict("records")
-    trades, i, j = [], 0, 0
-    while i < len(bids) and j < len(asks) and bids[i]["price"] >= asks[j]["price"]:
-        n = min(bids[i]["quantity"], asks[j]["quantity"])
-        trades.append((bids[i]["agent"], asks[j]["agent"], (bids[i]["price"] + asks[j]["price"]) / 2, n))
-        for side, k in ((bids, i), (asks, j)):
-            side[k]["quantity"] -= n
-        i, j = i + (bids[i]["quantity"] == 0), j + (asks[j]["quantity"] == 0)
-    rest = [r for r in bids[i:] + asks[j:] if r["quantity"] > 0]
-    return trades, pd.DataFrame(rest, columns=["side", "agent", "price", "quantity"])
+def _put(book: tuple[list, list], r, side: str, agent: str, price: float, quantity: int) -> None:
+    """An order into its side's heap: best price, then agent, then the earlier round. What isn't a buy or a sell, or has no price or quantity, leaves the book."""
+    if side in ("buy", "sell") and price is not None and price == price and quantity is not None and quantity > 0:
+        heapq.heappush(book[side == "sell"], (-price if side == "buy" else price, agent is None, agent or "", r, quantity))
 
 
-def _rounds(market: str, rows: pd.DataFrame, book: pd.DataFrame) -> tuple[list[tuple], pd.DataFrame]:
-    out = []
-    for r, orders in rows.sort_values("round").groupby("round"):
-        orders = orders[orders.side.isin(["buy", "sell"])].rename(columns={"agent_id": "agent"})[["side", "agent", "price", "quantity"]]
-        trades, book = _matched(pd.concat([book, orders]) if len(book) else orders)
-        out += [(market, int(r), *t) for t in trades]
-    return out, book
+def _matched(book: tuple[list, list]) -> Iterator[tuple]:
+    """Trades of best bid against best ask while they cross; the heaps keep what stays."""
+    bids, asks = book
+    while bids and asks and -bids[0][0] >= asks[0][0]:
+        bid, ask = bids[0], asks[0]
+        n = min(bid[4], ask[4])
+        yield None if bid[1] else bid[2], None if ask[1] else ask[2], (ask[0] - bid[0]) / 2, n
+        for heap, order in ((bids, bid), (asks, ask)):
+            if order[4] == n:
+                heapq.heappop(heap)
+            else:
+                # less of it is smaller still, so it stays on top
+                heap[0] = (*order[:4], order[4] - n)
+
+
+def _rounds(orders: Iterator[tuple], book: tuple[list, list]) -> Iterator[tuple]:
+    """(round, trade) of (round, side, agent, price, quantity) in order of rounds; orders without a round go."""
+    for r, own in itertools.groupby(orders, key=lambda x: x[0]):
+        if r is not None:
+            for order in own:
+                _put(book, *order)
+            for trade in _matched(book):
+                yield r, *trade
 
 
 def book_rounds(orders: DataFrame) -> DataFrame:
-    """Trades over successive rounds with unfilled quantity carried on; one group a market, which is sequential by nature.
+    """Trades over successive rounds with unfilled quantity carried on; a market is sequential by nature, and its rows stream by in order.
 
-    ``orders``: market, round, agent_id, side, price, quantity.
+    ``orders``: market, round, agent_id, side, price, quantity. Markets of a task follow one another in its batches, so many small ones
+    cost no more than one, and only the book of the one under way is held.
     """
-    columns = ["market", "round", "buyer_id", "seller_id", "price", "quantity"]
+    schema = pa.schema([("market", pa.string()), ("round", pa.int64()), ("buyer_id", pa.string()), ("seller_id", pa.string()), ("price", pa.float64()), ("quantity", pa.int64())])
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        trades, _ = _rounds(pdf.market.iloc[0], pdf, pd.DataFrame(columns=["side", "agent", "price", "quantity"]))
-        return pd.DataFrame(trades, columns=columns)
+    def run(batches):
+        rows = (x for batch in batches for x in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        trades = ((m, *t) for m, own in itertools.groupby(rows, key=lambda x: x[0]) for t in _rounds((x[1:] for x in own), ([], [])))
+        while some := list(itertools.islice(trades, 50_000)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*some, strict=True), schema, strict=True)], schema=schema)
 
-    return orders.groupBy("market").applyInPandas(run, TRADE)
+    columns = {"market": "string", "round": "long", "side": "string", "agent_id": "string", "price": "double", "quantity": "long"}
+    rows = orders.select(*(F.col(c).cast(t).alias(c) for c, t in columns.items()))
+    return rows.repartition("market").sortWithinPartitions("market", "round").mapInArrow(run, TRADE)
 
 
 def book_stream(orders: DataFrame) -> DataFrame:
@@ -95,10 +111,14 @@ def book_stream(orders: DataFrame) -> DataFrame:
     columns = ["market", "round", "buyer_id", "seller_id", "price", "quantity"]
 
     def run(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        names = ["side", "agent", "price", "quantity"]
-        book = pd.DataFrame(dict(zip(names, state.get, strict=True))) if state.exists else pd.DataFrame(columns=names)
-        trades, book = _rounds(key[0], pd.concat(list(batches)), book)
-        state.update(tuple(book[n].tolist() for n in names))
+        book = ([], [])
+        for order in zip(*state.get, strict=True) if state.exists else ():
+            _put(book, -math.inf, *order)
+        rows = pd.concat(list(batches)).dropna(subset=["round"]).sort_values("round")
+        plain = zip(*(rows[c].astype(object).where(rows[c].notna(), None).tolist() for c in ("round", "side", "agent_id", "price", "quantity")), strict=True)
+        trades = [(key[0], *t) for t in _rounds(plain, book)]
+        rest = [(side, None if x[1] else x[2], sign * x[0], x[4]) for side, sign, heap in (("buy", -1, book[0]), ("sell", 1, book[1])) for x in heap]
+        state.update(tuple(list(c) for c in zip(*rest, strict=True)) if rest else ([], [], [], []))
         yield pd.DataFrame(trades, columns=columns)
 
     return orders.groupBy("market").applyInPandasWithState(run, TRADE, BOOK, "append", GroupStateTimeout.NoTimeout)

@@ -77,6 +77,30 @@ def test_book_over_rounds_carries_orders(spark):
     assert sorted(tuple(r) for r in events.book_rounds(df).collect()) == [("m", 2, "b1", "s1", 4.5, 3), ("m", 3, "b2", "s1", 4.0, 2)]
 
 
+def test_book_over_rounds_streams_many_markets(spark):
+    rng = random.Random(4)
+    rows = [(f"m{m}", r, f"a{i}", rng.choice(["buy", "sell", "hold"]), float(rng.randint(1, 9)), rng.randint(1, 20)) for m in range(300) for r in (1, 2, 3) for i in range(r, 12, 3)]
+    odd = [("m0", 1, "z", "buy", None, 5), ("m0", 1, "z", "buy", float("nan"), 5), ("m0", 1, "z", "buy", 99.0, 0), ("m0", 1, "z", "buy", 99.0, None), ("m0", None, "z", "buy", 99.0, 5)]
+    want = []
+    for m in {r[0] for r in rows}:
+        bids, asks = [], []
+        for r in (1, 2, 3):
+            own = [x for x in rows if x[:2] == (m, r)]
+            bids = sorted(bids + [[-x[4], x[2], x[5]] for x in own if x[3] == "buy"])
+            asks = sorted(asks + [[x[4], x[2], x[5]] for x in own if x[3] == "sell"])
+            while bids and asks and -bids[0][0] >= asks[0][0]:
+                n = min(bids[0][2], asks[0][2])
+                want.append((m, r, bids[0][1], asks[0][1], (asks[0][0] - bids[0][0]) / 2, n))
+                for side in (bids, asks):
+                    side[0][2] -= n
+                    if not side[0][2]:
+                        side.pop(0)
+    df = events.book_rounds(spark.createDataFrame(rows + odd, "market string, round long, agent_id string, side string, price double, quantity long"))
+    assert sorted(tuple(r) for r in df.collect()) == sorted(want)
+    # no call a market
+    assert "FlatMapGroups" not in df._jdf.queryExecution().toString()
+
+
 def test_stateful_book_stream(spark, tmp_path):
     schema = "market string, round long, agent_id string, side string, price double, quantity long"
     for k, row in enumerate([("m", 1, "b1", "buy", 5.0, 3), ("m", 2, "s1", "sell", 4.0, 5), ("m", 3, "b2", "buy", 4.0, 2)]):
