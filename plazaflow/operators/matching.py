@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,19 +16,41 @@ from ..sources.stored import kept as stored
 BLOCK = 20_000
 
 
-def _best_of(shared, columns: list[str]):
-    """Of each title: ratio, place, and columns of the best reference row."""
+#: Kinds of characters that are told apart when common characters are counted.
+_KINDS = 64
+
+
+def _counts(t: str) -> np.ndarray:
+    return np.bincount(np.fromiter((ord(c) % _KINDS for c in t), np.int64, len(t)), minlength=_KINDS).astype(np.int32)
 
-    def one(t):
-        best = (-1, *[None] * (len(columns) - 1))
-        for place, o, *more in shared.value:
-            # the ratio is at most twice the shorter length over both
-            if t is not None and 200 * min(len(t), len(o)) >= (best[0] + 0.5) * (len(t) + len(o)) - 1 and (r := ratio(t, o)) > best[0]:
-                best = (r, place, o, *more)
-        return best
 
-    def run(s: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([one(t) for t in s], columns=columns)
+def _best_of(shared, columns: list[str], least: int):
+    """Of each title: ratio, place, and columns of the best reference row, if its ratio is ``least`` or more.
+
+    Characters in common bound the ratio, so only references whose bound reaches the best so far are compared, the likeliest first.
+    """
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        rows = shared.value
+        low = [o.lower() for _, o, *_ in rows]
+        kinds, sizes = np.array([_counts(o) for o in low], dtype=np.int32).reshape(-1, _KINDS), np.array([len(o) for o in low], dtype=np.int64)
+
+        def one(t):
+            n = len(t.lower())
+            common, total = np.minimum(kinds, _counts(t.lower())).sum(axis=1), sizes + n
+            bound = np.where(total > 0, np.floor(200 * common / np.maximum(total, 1) + 0.5 + 1e-9), 100)
+            near = np.flatnonzero(bound >= least)
+            best, at = least - 1, None
+            for k in near[np.argsort(-bound[near], kind="stable")]:
+                if bound[k] < best:
+                    break
+                # an equal ratio counts if its place is earlier
+                if (bound[k] > best or (at is not None and k < at)) and ((r := ratio(t, rows[k][1])) > best or (r == best and at is not None and k < at)):
+                    best, at = r, k
+            return (None,) * len(columns) if at is None else (best, *rows[at])
+
+        for s in batches:
+            yield pd.DataFrame([one(t) for t in s], columns=columns)
 
     return run
 
@@ -33,26 +58,24 @@ def _best_of(shared, columns: list[str]):
 def best_match(left: DataFrame, right: DataFrame, title: str, other: str, order: str, least: int = 80, keep: list[str] = ()) -> DataFrame:
     """Each left row with the right title of the highest ratio (the first by ``order`` on ties), if that is ``least`` or more.
 
-    The right side is a reference list: it is counted, and goes to the tasks in blocks of ``BLOCK`` rows; each left row meets a block in
-    one pass, with the length bound of the ratio as a filter, and the best over the blocks stays.
+    The right side is a reference list: it is counted, and goes to the tasks in blocks of ``BLOCK`` rows; each distinct left title meets a
+    block in one pass, the best over the blocks stays, and rows find their title's match by a join.
     """
-    spark, n = left.sparkSession, right.count()
-    blocks = max(1, -(-n // BLOCK))
-    keyed = left.withColumn("own id", F.monotonically_increasing_id()) if blocks > 1 else left
-    out = None
+    spark, n = left.sparkSession, right.where(F.col(other).isNotNull()).count()
+    blocks, kinds = max(1, -(-n // BLOCK)), dict(right.dtypes)
+    titles = left.where(F.col(title).isNotNull()).select(F.col(title).alias("own title")).distinct()
+    titles, out = titles if blocks == 1 else stored(titles), None
+    schema = f"score int, place {kinds[order]}, " + ", ".join(f"`{c}` {kinds[c]}" for c in (other, *keep))
     for b in range(blocks):
         part = right if blocks == 1 else right.where(F.pmod(F.xxhash64(order), blocks) == b)
         rows = [tuple(r) for r in part.where(F.col(other).isNotNull()).select(order, other, *keep).orderBy(order).collect()]
-        shared = spark.sparkContext.broadcast(rows)
-        schema = f"score int, place {dict(right.dtypes)[order]}, " + ", ".join(f"`{c}` {dict(right.dtypes)[c]}" for c in (other, *keep))
-
-        got = keyed.withColumn("own match", F.pandas_udf(_best_of(shared, ["score", "place", other, *keep]), schema)(F.col(title)))
+        best = F.pandas_udf(_best_of(spark.sparkContext.broadcast(rows), ["score", "place", other, *keep], least), schema)
+        got = titles.withColumn("own match", best("own title")).where("`own match`.score IS NOT NULL")
         out = got if out is None else out.unionByName(got)
     if blocks > 1:
-        rest = F.struct(*map(F.col, out.columns))
-        out = out.groupBy("own id").agg(F.max_by(rest, F.struct("own match.score", F.expr("-`own match`.place"))).alias("row")).select("row.*").drop("own id")
+        out = out.groupBy("own title").agg(F.min_by("own match", F.struct(-F.col("own match.score"), F.col("own match.place"))).alias("own match"))
     fields = ["score", other, *keep]
-    return out.where(F.col("own match.score") >= least).select(*left.columns, *(F.col(f"own match.{f}").alias(f"match_{f}") for f in fields))
+    return left.join(out, F.col(title) == F.col("own title")).select(*left.columns, *(F.col(f"own match.{f}").alias(f"match_{f}") for f in fields))
 
 
 def _pieces(n: int, most: int) -> tuple[int, list[tuple[int, int]]]:

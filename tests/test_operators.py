@@ -199,3 +199,24 @@ def test_fuzzy_match(spark, monkeypatch, block):
     assert [(r.i, r.match_name) for r in got] == [(1, "Registered Nurses")]
     names = spark.createDataFrame([(1, "alpha one", "g"), (2, "alpha one!", "g"), (3, "beta", "g")], "i long, title string, g string")
     assert sorted(r.i for r in matching.greedy_distinct(names, "title", "i", ["g"]).collect()) == [1, 3]
+
+
+@pytest.mark.parametrize("block", [20_000, 7])
+def test_fuzzy_match_compares_distinct_titles(spark, monkeypatch, block):
+    from plazaflow.functions.parsing import ratio
+
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abAé ", k=rng.randint(0, 7)))
+    titles, refs = [word() for _ in range(40)] + [None], [(i, None if i == 3 else word()) for i in range(60)]
+    want = {}
+    for t in titles:
+        best = max(((ratio(t, o), -i, o) for i, o in refs if o is not None), default=None) if t is not None else None
+        if best and best[0] >= 70:
+            want[t] = (best[0], best[2], -best[1])
+    monkeypatch.setattr(matching, "BLOCK", block)
+    left = spark.createDataFrame([(i, titles[i % 41]) for i in range(410)], "i long, title string")
+    got = matching.best_match(left, spark.createDataFrame(refs, "pos string, name string").withColumn("pos", F.lpad("pos", 2, "0")), "title", "name", "pos", 70, ["pos"])
+    assert sorted((r.i, r.match_score, r.match_name, int(r.match_pos)) for r in got.collect()) == sorted((i, *want[titles[i % 41]]) for i in range(410) if titles[i % 41] in want)
+    # one comparison a title, not one a row
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan[plan.index("EvalPython") :]
