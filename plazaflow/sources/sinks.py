@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.dedup import latest_of_each
 from . import schemas
+from .stored import kept
 
 
 def append_json_lines(df: DataFrame, path: str) -> None:
@@ -24,10 +25,16 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def append(df: DataFrame, name: str, database: str = "default") -> None:
-    """Appends to a canonical table, creating it if needed; columns are brought into its form and meet by name (partition columns stand last in a table)."""
+    """Appends to a canonical table, creating it if needed; columns are brought into its form and meet by name (partition columns stand last in a table).
+
+    Rows of a partition are brought together first, so that a task doesn't write a file for each partition that it has rows of.
+    """
     spark = df.sparkSession
     schemas.create(spark, name, database)
-    schemas.conform(df, name).select(*(F.col(f"`{c}`") for c in spark.table(f"{database}.{name}").columns)).write.mode("append").insertInto(f"{database}.{name}")
+    rows = schemas.conform(df, name).select(*(F.col(f"`{c}`") for c in spark.table(f"{database}.{name}").columns))
+    if name in schemas.PARTITIONS:
+        rows = rows.hint("rebalance", *schemas.PARTITIONS[name])
+    rows.write.mode("append").insertInto(f"{database}.{name}")
 
 
 def upsert(existing: DataFrame, new: DataFrame, keys: list[str], sequence: str, tie: str) -> DataFrame:
@@ -36,9 +43,15 @@ def upsert(existing: DataFrame, new: DataFrame, keys: list[str], sequence: str,
 
 
 def clear_agent(spark: SparkSession, name: str, agent_id: str, database: str = "default") -> None:
-    """Drops one agent's partition of a memory table; the others aren't read."""
-    quoted = agent_id.replace("'", "''")
-    spark.sql(f"ALTER TABLE {database}.{name} DROP IF EXISTS PARTITION (agent_id = '{quoted}')")
+    """Takes one agent out of a memory table: its partition is dropped, or the one that it shares is written anew; the others aren't read."""
+    if schemas.PARTITIONS[name] == ["agent_id"]:
+        quoted = agent_id.replace("'", "''")
+        spark.sql(f"ALTER TABLE {database}.{name} DROP IF EXISTS PARTITION (agent_id = '{quoted}')")
+        return
+    bucket = spark.range(1).select(F.lit(agent_id).alias("agent_id")).select(F.expr(schemas.DERIVED["agent_bucket"])).first()[0]
+    rest = kept(spark.table(f"{database}.{name}").where((F.col("agent_bucket") == bucket) & ~F.col("agent_id").eqNullSafe(F.lit(agent_id))).drop("agent_bucket"))
+    names = ", ".join(f"`{c}`" for c in rest.columns)
+    spark.sql(f"INSERT OVERWRITE {database}.{name} PARTITION (agent_bucket = {bucket}) ({names}) SELECT {names} FROM {{rest}}", rest=rest)
 
 
 def ingest_knowledge(documents: DataFrame, least: int = 200, most: int = 1000, embed=None) -> tuple[DataFrame, DataFrame]:

@@ -82,3 +82,16 @@ def test_sinks(spark, tmp_path):
     assert [r.reward for r in sinks.exploded_turns(t).orderBy("turn").collect()] == [0.5, 0.0]
     made = spark.createDataFrame([("agent",), ("7",), ("ü",), (str(uuid.uuid4()),)], "n string").select("n", sinks.stable_id(F.col("n")).alias("u")).collect()
     assert all(r.u == (r.n if len(r.n) == 36 else str(uuid.uuid5(uuid.NAMESPACE_DNS, r.n))) for r in made)
+
+
+def test_episodes_of_many_agents(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS plaza_episodes")
+    rows = spark.range(2000).select(F.col("id").cast("string").alias("memory_id"), F.when(F.col("id") % 1000 > 0, F.concat(F.lit("a'"), (F.col("id") % 1000).cast("string"))).alias("agent_id"))
+    sinks.append(rows.repartition(8), "episodic_memory", "plaza_episodes")
+    table = lambda: spark.table("plaza_episodes.episodic_memory")
+    assert spark.sql("SHOW PARTITIONS plaza_episodes.episodic_memory").count() <= 64 and len(table().inputFiles()) <= 64
+    for agent in ("a'7", "a'7", "none"):
+        sinks.clear_agent(spark, "episodic_memory", agent, "plaza_episodes")
+    assert sorted(int(r.memory_id) for r in table().collect()) == [i for i in range(2000) if i % 1000 != 7]
+    assert table().where("agent_id IS NULL").count() == 2
+    spark.sql("DROP DATABASE plaza_episodes CASCADE")
