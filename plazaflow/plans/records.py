@@ -123,8 +123,7 @@ def turn_labels(spark, sf_dir):
 @query("SELECT user_id, max(ts) AS last_seen FROM events GROUP BY 1 HAVING max(ts) < (SELECT max(ts) FROM events) - INTERVAL '1 hour'")
 def idle_sessions(spark, sf_dir):
     e = table(spark, sf_dir, "events")
-    now = e.agg(F.max("ts").cast("timestamp")).first()[0]
-    return rounds.idle_sessions(e, "user_id", "ts", F.lit(now), 3600)
+    return rounds.idle_sessions(e, "user_id", "ts", e.agg(F.max("ts")).scalar(), 3600)
 
 
 @query("SELECT p_size AS cohort, 1 AS round, p_brand AS agent_id, max_by(p_name, p_partkey) AS summary FROM part WHERE p_name <> '' GROUP BY 1, 3")

@@ -157,3 +157,12 @@ def test_notebook_cuts_one_text(spark):
     # no list of all cells so far at each cell
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_list" not in next(x for x in plan.splitlines() if "Window" in x)
+
+
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "string"])
+def test_idle_sessions_to_the_microsecond(spark, kind):
+    rows = [("now", "2024-03-31 03:30:00.5"), ("before", "2024-03-31 02:30:00.499999"), ("at", "2024-03-31 02:30:00.5"), ("old", "2024-03-30 01:00:00"), ("old", "2024-03-30 02:00:00"), ("none", None), (None, "2024-03-31 01:00:00")]
+    e = spark.createDataFrame(rows, "who string, ts string").withColumn("ts", F.col("ts").cast(kind))
+    for now in (F.lit("2024-03-31 03:30:00.5"), e.agg(F.max("ts")).scalar()):
+        got = rounds.idle_sessions(e, "who", "ts", now, 3600)
+        assert {r.who: str(r.last_seen)[:13] for r in got.collect()} == {"before": "2024-03-31 02", "old": "2024-03-30 02", None: "2024-03-31 01"}
