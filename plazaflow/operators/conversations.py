@@ -104,13 +104,17 @@ def cohorts(df: DataFrame, key: str, size: int, order: Column | None = None, gro
 def numbered(df: DataFrame, order: Column, name: str) -> DataFrame:
     """Adds the 1-based place in a global order: a range shuffle, then each range adds the sizes of those before it.
 
-    The sizes are one number a range (a small table by construction, as many rows as shuffle partitions).
+    The ranges come from a sample, and another run over the same rows may cut them elsewhere; so the sorted ranges are written once, and
+    their sizes and places are read from there. The sizes are one number a range (a small table by construction, as many rows as shuffle partitions).
     """
-    ranged = df.repartitionByRange(order).withColumn("own range", F.spark_partition_id())
-    sizes = ranged.groupBy("own range").agg(F.count(F.lit(1)).alias("own n"))
+    from ..sources.stored import kept
+
+    # the number of a row within its partition in 33 bits, the partition above
+    ranged = kept(df.repartitionByRange(order).sortWithinPartitions(order).withColumn("own at", F.monotonically_increasing_id()))
+    part, place = F.shiftright("own at", 33), F.col("own at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = ranged.groupBy(part.alias("own range")).agg(F.count(F.lit(1)).alias("own n"))
     before = sizes.withColumn("own before", F.coalesce(F.sum("own n").over(W.orderBy("own range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("own n")
-    local = ranged.withColumn(name, F.row_number().over(W.partitionBy("own range").orderBy(order)))
-    return local.join(F.broadcast(before), "own range").withColumn(name, F.col(name) + F.col("own before")).drop("own range", "own before")
+    return ranged.join(F.broadcast(before), part == F.col("own range")).withColumn(name, place + 1 + F.col("own before")).drop("own range", "own before", "own at")
 
 
 # ---- one row a conversation -----------------------------------------------------------------------------------------

@@ -234,7 +234,9 @@ def board_inserts(spark, sf_dir):
     """A board of the first half of the customers, and the rest as new posts without ids of their own."""
     posts = table(spark, sf_dir, "customer").select((F.col("c_custkey") + 1).alias("id"), F.col("c_name").alias("title"), (F.col("c_custkey") % 5).cast("int").alias("karma"))
     half = posts.count() // 2
-    return r.board_insert(posts.where(F.col("id") <= half), posts.where(F.col("id") > half).withColumn("id", F.lit(-1)), "title")
+    # titles may repeat, so new posts come in the order of their customers
+    new = posts.where(F.col("id") > half).withColumn("customer", F.col("id")).withColumn("id", F.lit(-1))
+    return r.board_insert(posts.where(F.col("id") <= half), new, "customer")
 
 
 @query()

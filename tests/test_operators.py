@@ -1,5 +1,6 @@
 """Relational operators against small brute-force versions."""
 
+import hashlib
 import random
 
 import pytest
@@ -220,3 +221,26 @@ def test_fuzzy_match_compares_distinct_titles(spark, monkeypatch, block):
     # one comparison a title, not one a row
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" in plan[plan.index("EvalPython") :]
+
+
+def test_numbering_of_more_rows_than_a_sample(spark):
+    # long rows: their order alone and the whole rows would be cut into different ranges
+    df = spark.range(60_000).select("id", F.repeat(F.sha2(F.col("id").cast("string"), 256), 3).alias("text"))
+    keys = {i: k + 1 for k, (_, i) in enumerate(sorted((hashlib.sha256(str(i).encode()).hexdigest(), i) for i in range(60_000)))}
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions")}
+    try:
+        for k, v in zip(before, ("200k", "32"), strict=True):
+            spark.conf.set(k, v)
+        got = c.numbered(df, F.sha2(F.col("id").cast("string"), 256), "place").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r.id: r.place for r in got} == keys and len(got) == 60_000
+
+
+def test_board_insert_with_equal_titles(spark, tmp_path):
+    from plazaflow.plans.catalog import QUERIES
+
+    rows = [(i, f"Customer#{i % 10}", 1, 1.0, "x") for i in range(200)]
+    spark.createDataFrame(rows, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").repartition(5).write.parquet(f"{tmp_path}/customer.parquet")
+    assert sorted(tuple(r) for r in QUERIES["board_inserts"](spark, str(tmp_path)).collect()) == [(i + 1, f"Customer#{i % 10}", i % 5) for i in range(200)]
