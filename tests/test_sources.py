@@ -95,3 +95,20 @@ def test_episodes_of_many_agents(spark):
     assert sorted(int(r.memory_id) for r in table().collect()) == [i for i in range(2000) if i % 1000 != 7]
     assert table().where("agent_id IS NULL").count() == 2
     spark.sql("DROP DATABASE plaza_episodes CASCADE")
+
+
+def test_csv_tasks_of_many_parts(spark, tmp_path):
+    from plazaflow.plans.catalog import QUERIES
+
+    n = 40_000
+    spark.range(n).select(F.col("id").alias("p_partkey"), F.repeat(F.lit("n"), 5).alias("p_name"), F.concat(F.lit("Brand#"), (F.col("id") % 25).cast("string")).alias("p_brand"), F.sha2(F.col("id").cast("string"), 512).alias("p_type"), F.lit(1).alias("p_size")).repartition(6).write.parquet(f"{tmp_path}/part.parquet")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.minPartitionSize", "spark.sql.shuffle.partitions")}
+    try:
+        for k, v in zip(before, ("1k", "32"), strict=True):
+            spark.conf.set(k, v)
+        got = {r.Task: (r.id, r.Category) for r in QUERIES["csv_tasks"](spark, str(tmp_path)).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    want = sorted((f"task {i}", i) for i in range(n))
+    assert got == {t: (f"parts_{k + 1}", f"Brand#{i % 25}") for k, (t, i) in enumerate(want)}
