@@ -131,3 +131,19 @@ def test_knowledge_ingest_deletes_the_same_objects(spark, tmp_path, monkeypatch)
     monkeypatch.setattr(storage.stored, "kept", kept)
     assert tuple(storage.knowledge_ingest(spark, f"{tmp_path}/300").first() or ()) == (300, 300, True)
     assert tuple(storage.knowledge_ingest(spark, f"{tmp_path}/2").first() or ()) == (2, 2, True)
+
+
+def test_problem_rows_of_many_parts(spark, tmp_path):
+    from plazaflow.plans.catalog import QUERIES
+
+    n = 60_000
+    spark.range(n).select((3 * F.col("id")).alias("p_partkey"), F.sha2(F.col("id").cast("string"), 512).alias("p_name"), F.lit("b").alias("p_brand")).repartition(6).write.parquet(f"{tmp_path}/part.parquet")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.minPartitionSize", "spark.sql.shuffle.partitions")}
+    try:
+        for k, v in zip(before, ("1k", "32"), strict=True):
+            spark.conf.set(k, v)
+        got = QUERIES["problem_rows"](spark, str(tmp_path)).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted((r.p_partkey, r.id) for r in got) == [(3 * i, f"problem_{i}") for i in range(n) if 3 * i % 4 not in (1, 2)]
