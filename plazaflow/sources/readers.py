@@ -17,9 +17,9 @@ from ..operators.conversations import numbered
 KINDS = {"csv": "table", "tsv": "table", "json": "json", "jsonl": "json lines", "ndjson": "json lines", "txt": "text", "md": "text", "py": "text", "log": "text", "yaml": "yaml", "yml": "yaml", "pdf": "pdf", "parquet": "parquet", "orc": "orc"}
 
 
-def csv(spark: SparkSession, path: str, schema: str | None = None, separator: str = ",", trim: bool = False, multi_line: bool = False) -> DataFrame:
-    """A CSV with a header; all columns are text unless a schema is given."""
-    reader = spark.read.option("header", True).option("sep", separator).option("escape", '"').option("multiLine", multi_line).option("ignoreLeadingWhiteSpace", trim)
+def csv(spark: SparkSession, path: str, schema: str | None = None, separator: str = ",", trim: bool = False, multi_line: bool = False, null: str = "") -> DataFrame:
+    """A CSV with a header; all columns are text unless a schema is given. Fields that read ``null`` are null; with a mark of their own, quoted empty fields stay empty texts."""
+    reader = spark.read.option("header", True).option("sep", separator).option("escape", '"').option("multiLine", multi_line).option("ignoreLeadingWhiteSpace", trim).option("nullValue", null)
     return (reader.schema(schema) if schema else reader).csv(path)
 
 

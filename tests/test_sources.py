@@ -147,3 +147,15 @@ def test_problem_rows_of_many_parts(spark, tmp_path):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert sorted((r.p_partkey, r.id) for r in got) == [(3 * i, f"problem_{i}") for i in range(n) if 3 * i % 4 not in (1, 2)]
+
+
+def test_csv_tasks_keep_odd_fields(spark, tmp_path):
+    from plazaflow.plans.catalog import QUERIES
+
+    brands = [None, "", " ", " in front", "behind ", "a\nb", "a\r\nb", "\tx", 'a"b', '"q"', "a,b", "\\", '\\"', "null", "ü€"]
+    # the third task has no number and comes last
+    rows = [(None if k == 2 else k, "n", b, brands[-1 - k], 1) for k, b in enumerate(brands)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string, p_size int").repartition(3).write.parquet(f"{tmp_path}/part.parquet")
+    want = sorted((f"task {k}", b) for k, b in enumerate(brands) if k != 2) + [(None, brands[2])]
+    got = {r.id: (r.Task, r.Category) for r in QUERIES["csv_tasks"](spark, str(tmp_path)).collect()}
+    assert got == {f"parts_{k + 1}": x for k, x in enumerate(want)}
